@@ -23,6 +23,12 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
+def strip_sql(column: str) -> str:
+    """The same as SQL text, for lists of many columns."""
+    blanks = "".join(f"\\u{ord(blank):04x}" for blank in BLANKS)
+    return f"btrim({column}, '{blanks}')"
+
+
 def zero_to_null(value: Column) -> Column:
     return F.nullif(value, F.lit(0).cast("double"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,28 +25,31 @@ def enrich(
     columns: Mapping[str, str],
     defaults: Mapping[str, object] | None = None,
     lookup_key: str | None = None,
-    has_key: Column | None = None,
+    present_key: str | None = None,
 ) -> DataFrame:
     """Add columns of ``lookup`` (at most one row per key) to every report row of the same key.
 
     ``columns`` maps lookup names to report names. A default, named by report column, is used only
-    where the lookup has no row: a row holding null stays null. A report row without a key gets null.
+    where the lookup has no row: a row holding null stays null. A report row without a key gets null;
+    ``present_key`` names the column that tells, when ``key`` is a filled-up copy of it.
     """
-    has_key = F.col(key).isNotNull() if has_key is None else has_key
-    picked = lookup.select(
-        F.col(lookup_key or key).alias("_lookup_key"),
-        *[F.col(source).alias(f"_from_{source}") for source in columns],
-        F.lit(True).alias("_found"),
+    lookup_key = lookup_key or key
+    found = lookup.selectExpr("*", "true AS _found").alias("_lookup")
+    joined = report.alias("_report").join(
+        found, F.col(f"_report.`{key}`") == F.col(f"_lookup.`{lookup_key}`"), "left"
     )
-    joined = report.join(picked, F.col(key) == F.col("_lookup_key"), "left")
     added = []
     for source, target in columns.items():
-        value = F.col(f"_from_{source}")
+        value = f"_lookup.`{source}`"
         default = (defaults or {}).get(target)
         if default is not None:
-            value = F.when(F.col("_found"), value).when(has_key, F.lit(default).cast(lookup.schema[source].dataType))
-        added.append(value.alias(target))
-    return joined.select(*[F.col(f"`{column}`") for column in report.columns], *added)
+            kind = lookup.schema[source].dataType.simpleString()
+            value = (
+                f"CASE WHEN _found THEN {value} "
+                f"WHEN _report.`{present_key or key}` IS NOT NULL THEN CAST('{default}' AS {kind}) END"
+            )
+        added.append(f"{value} AS `{target}`")
+    return joined.selectExpr("_report.*", *added)
 
 
 def left_join_split(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql import SparkSession
 RUNTIME_SETTINGS = {
     # Split a hot join key even where that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The finished report has 127 columns; the default of 100 would turn codegen off.
-    "spark.sql.codegen.maxFields": "200",
+    # HotSpot never compiles a method above 8000 bytes of bytecode. Fused stages of a plan this wide
+    # exceed that and would be interpreted; unfused, their projections are split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -24,10 +25,13 @@ def local_session(cpus: int | str = "*", app: str = "heatwright", **settings: st
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # No call site per column expression: building a wide plan takes thousands of them.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in settings.items():
         builder = builder.config(name, value)

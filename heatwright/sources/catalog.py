@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heatwright.functions.scalars import matches, strip
+from heatwright.functions.scalars import matches, strip_sql
 from heatwright.sources.schemas import HEAT_ID_COLUMNS, SOURCES
 
 # A heat list this long is a few megabytes: safe to send to every executor.
@@ -60,7 +60,8 @@ def _fits(found: T.DataType, wanted: T.DataType) -> bool:
 
 def conform(df: DataFrame, schema: T.StructType, name: str = "source") -> DataFrame:
     """Lower-case the names, check columns and types, cast, and strip the heat identifiers."""
-    df = df.toDF(*[column.lower() for column in df.columns])
+    if any(column != column.lower() for column in df.columns):
+        df = df.toDF(*[column.lower() for column in df.columns])
     found = {field.name: field.dataType for field in df.schema.fields}
     problems = [
         f"{field.name}: {found[field.name].simpleString() if field.name in found else 'missing'}, "
@@ -72,13 +73,13 @@ def conform(df: DataFrame, schema: T.StructType, name: str = "source") -> DataFr
         raise SchemaMismatch(f"{name}: " + "; ".join(problems))
     columns = []
     for field in schema.fields:
-        column = F.col(field.name)
+        column = f"`{field.name}`"
         if found[field.name] != field.dataType:
-            column = column.cast(field.dataType)
+            column = f"CAST({column} AS {field.dataType.simpleString()})"
         if field.name in HEAT_ID_COLUMNS:
-            column = strip(column)
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            column = strip_sql(column)
+        columns.append(f"{column} AS `{field.name}`")
+    return df.selectExpr(*columns)
 
 
 class SourceCatalog:

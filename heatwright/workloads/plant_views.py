@@ -3,10 +3,14 @@
 ``order_plant``: a heat is an order, its lines are events, consumptions, lab rows and additions.
 ``customer_plant``: a heat is a customer, orders are additions and their lines the materials, which
 gives many additions and materials per heat.
+
+Each function below is one plant table, built when a plan first asks for it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +28,9 @@ MATERIALS = {
 PARAMETERS = {"click": "O2", "purchase": "CO2", "view": "TEMP", "signup": "TEMP", "error": "SLAG"}
 AREAS = {"click": "LMS1", "purchase": "XLMS", "view": "LMS2", "signup": "VTD1", "error": "LMS1"}
 
+Tables = Callable[[str], DataFrame]
+View = Callable[[Tables], DataFrame]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -40,223 +47,321 @@ def _prefixed(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
 
-def order_plant(spark: SparkSession, sf_dir: str) -> SourceCatalog:
-    orders = table(spark, sf_dir, "orders")
-    lineitem = table(spark, sf_dir, "lineitem")
-    customer = table(spark, sf_dir, "customer")
-    nation = table(spark, sf_dir, "nation")
-    supplier = table(spark, sf_dir, "supplier")
-    part = table(spark, sf_dir, "part")
-    events = table(spark, sf_dir, "events")
-
-    order_heat = F.col("o_orderkey").cast("string")
-    line_heat = F.col("l_orderkey").cast("string")
-    typed_lines = lineitem.join(
-        part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey"
+def _order_heat() -> Column:
+    return F.col("o_orderkey").cast("string")
+
+
+def _line_heat() -> Column:
+    return F.col("l_orderkey").cast("string")
+
+
+def _line_length() -> Column:
+    return F.when(F.col("l_returnflag") != "A", F.col("l_linenumber").cast("double"))
+
+
+def _typed_lines(t: Tables) -> DataFrame:
+    types = t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    return t("lineitem").join(types, "l_partkey")
+
+
+def melt_heat(t: Tables) -> DataFrame:
+    return t("orders").select(
+        _order_heat().alias("mlh_heat_no"),
+        F.col("o_orderdate").alias("mlh_tap_date"),
+        F.col("o_orderpriority").alias("blg_grade_id"),
+        F.col("o_custkey").alias("eqg_serial_no"),
+        _prefixed("C", "o_custkey").alias("wor_order_no"),
+    )
+
+
+def melt_heat_result(t: Tables) -> DataFrame:
+    pounds = F.col("l_quantity") * 1000
+    lines = t("lineitem").groupBy("l_orderkey")
+    return lines.agg(
+        F.max("l_linenumber").cast("string").alias("mhr_crew_id"),
+        F.min("l_linenumber").cast("string").alias("mhr_shift_id"),
+        F.sum(F.when(F.col("l_returnflag") == "R", pounds).otherwise(0.0)).alias("mhr_prime_weight"),
+        F.sum(pounds).alias("mhr_tap_weight"),
+        F.max("l_extendedprice").alias("mhr_lmf_finaltemp"),
+        F.min("l_extendedprice").alias("mhr_lmf_finalo2"),
+        F.max("l_quantity").alias("mhr_lmf_finalc"),
+        F.min("l_shipdate").alias("mhr_lmf_startdate"),
+        F.max("l_shipdate").alias("mhr_lmf_enddate"),
+    ).withColumn("mlh_heat_no", _line_heat())
+
+
+def melt_heat_consumption(t: Tables) -> DataFrame:
+    return t("lineitem").select(
+        _line_heat().alias("mlh_heat_no"),
+        F.when(F.col("l_returnflag") == "A", "Energy").otherwise("Alloy").alias("mtg_group_id"),
+        F.when(F.col("l_linestatus") == "O", 4).otherwise(3).alias("wcr_work_center_id"),
+        F.col("l_quantity").alias("mhp_qty"),
+    )
+
+
+def work_order_link(t: Tables) -> DataFrame:
+    return t("customer").select(
+        _prefixed("C", "c_custkey").alias("wol_supply_no"),
+        _prefixed("D", "c_nationkey").alias("wol_demand_no"),
+    )
+
+
+def work_order(t: Tables) -> DataFrame:
+    demand = t("nation").select(
+        _prefixed("D", "n_nationkey").alias("wor_order_no"), F.col("n_name").alias("pcd_product_code")
     )
-    line_area = F.when(F.col("l_returnflag") == "N", "VTD1").otherwise(
-        F.when(F.col("l_linestatus") == "O", "LMS1").otherwise("LMS2")
+    supply = t("customer").select(
+        _prefixed("C", "c_custkey").alias("wor_order_no"),
+        _prefixed("P", "c_nationkey").alias("pcd_product_code"),
     )
-    route_ends = supplier.groupBy("s_nationkey").agg(
-        F.max("s_suppkey").alias("last_supplier"), F.min("s_suppkey").alias("first_supplier")
+    return demand.unionByName(supply)
+
+
+def product_code_route(t: Tables) -> DataFrame:
+    return t("supplier").select(
+        _prefixed("P", "s_nationkey").alias("pcd_product_code"),
+        F.col("s_name").alias("sop_practice_id"),
+        _prefixed("R", "s_suppkey").alias("rot_route_id"),
+        F.lit(1).alias("ros_route_seq"),
+        _prefixed("F", "s_nationkey").alias("finishing_route_id"),
+    )
+
+
+def route_sequence(t: Tables) -> DataFrame:
+    return t("supplier").select(
+        _prefixed("R", "s_suppkey").alias("rot_route_id"),
+        F.lit(1).alias("ros_route_seq"),
+        F.when(F.col("s_acctbal") > 3000, 4).otherwise(3).alias("wcr_work_center_id"),
     )
 
-    def route_end(column: str, primary: int) -> DataFrame:
-        return route_ends.select(
-            _prefixed("P", "s_nationkey").alias("pcd_product_code"),
-            _prefixed("R", column).alias("rot_route_id"),
-            _prefixed("F", "s_nationkey").alias("finishing_route_id"),
-            F.lit(primary).alias("mur_primary"),
+
+def multiple_route(t: Tables) -> DataFrame:
+    """The last supplier of a nation is its primary route, the first another one."""
+    ends = t("supplier").groupBy("s_nationkey").agg(F.max("s_suppkey"), F.min("s_suppkey"))
+    ends = ends.toDF("s_nationkey", "last_supplier", "first_supplier")
+    route = F.explode(
+        F.array(
+            F.struct(_prefixed("R", "last_supplier").alias("id"), F.lit(1).alias("primary")),
+            F.struct(_prefixed("R", "first_supplier").alias("id"), F.lit(0).alias("primary")),
         )
+    )
+    return ends.withColumn("route", route).select(
+        _prefixed("P", "s_nationkey").alias("pcd_product_code"),
+        F.col("route.id").alias("rot_route_id"),
+        _prefixed("F", "s_nationkey").alias("finishing_route_id"),
+        F.col("route.primary").alias("mur_primary"),
+    )
 
-    frames = {
-        "melt_heat": orders.select(
-            order_heat.alias("mlh_heat_no"),
-            F.col("o_orderdate").alias("mlh_tap_date"),
-            F.col("o_orderpriority").alias("blg_grade_id"),
-            F.col("o_custkey").alias("eqg_serial_no"),
-            _prefixed("C", "o_custkey").alias("wor_order_no"),
-        ),
-        "melt_heat_result": lineitem.groupBy(line_heat.alias("mlh_heat_no")).agg(
-            F.max("l_returnflag").alias("mhr_crew_id"),
-            F.max("l_linestatus").alias("mhr_shift_id"),
-            F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity") * 1000).otherwise(0.0)).alias(
-                "mhr_prime_weight"
-            ),
-            F.sum(F.col("l_quantity") * 1000).alias("mhr_tap_weight"),
-            F.max("l_extendedprice").alias("mhr_lmf_finaltemp"),
-            F.min("l_extendedprice").alias("mhr_lmf_finalo2"),
-            F.max("l_quantity").alias("mhr_lmf_finalc"),
-            F.min("l_shipdate").alias("mhr_lmf_startdate"),
-            F.max("l_shipdate").alias("mhr_lmf_enddate"),
-        ),
-        "melt_heat_consumption": lineitem.select(
-            line_heat.alias("mlh_heat_no"),
-            F.when(F.col("l_returnflag") == "A", "Energy").otherwise("Alloy").alias("mtg_group_id"),
-            F.when(F.col("l_linestatus") == "O", 4).otherwise(3).alias("wcr_work_center_id"),
-            F.col("l_quantity").alias("mhp_qty"),
-        ),
-        "work_order_link": customer.select(
-            _prefixed("C", "c_custkey").alias("wol_supply_no"),
-            _prefixed("D", "c_nationkey").alias("wol_demand_no"),
-        ),
-        "work_order": nation.select(
-            _prefixed("D", "n_nationkey").alias("wor_order_no"),
-            F.col("n_name").alias("pcd_product_code"),
-        ).unionByName(
-            customer.select(
-                _prefixed("C", "c_custkey").alias("wor_order_no"),
-                _prefixed("P", "c_nationkey").alias("pcd_product_code"),
-            )
-        ),
-        "product_code_route": supplier.select(
-            _prefixed("P", "s_nationkey").alias("pcd_product_code"),
-            F.col("s_name").alias("sop_practice_id"),
-            _prefixed("R", "s_suppkey").alias("rot_route_id"),
-            F.lit(1).alias("ros_route_seq"),
-            _prefixed("F", "s_nationkey").alias("finishing_route_id"),
-        ),
-        "route_sequence": supplier.select(
-            _prefixed("R", "s_suppkey").alias("rot_route_id"),
-            F.lit(1).alias("ros_route_seq"),
-            F.when(F.col("s_acctbal") > 3000, 4).otherwise(3).alias("wcr_work_center_id"),
-        ),
-        "multiple_route": route_end("last_supplier", 1).unionByName(route_end("first_supplier", 0)),
-        "v_ms_summary": orders.select(
-            order_heat.alias("mlh_heat_no"),
-            F.col("o_orderpriority").alias("blg_grade_id"),
-            F.when(
-                ~((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")),
-                F.col("o_orderdate"),
-            ).alias("mlh_cast_date"),
-            F.when(F.col("o_orderstatus") == "F", "0")
-            .when(F.col("o_orderstatus") == "O", "1")
-            .alias("mhr_cc_freeopen"),
-            F.col("o_orderstatus").alias("mhr_crew_id"),
-        ),
-        "melt_heat_event": lineitem.select(
-            line_heat.alias("mlh_heat_no"),
-            _coded(F.concat("l_returnflag", "l_linestatus"), EVENT_CODES).alias("mev_event_id"),
-            F.col("l_shipdate").alias("mhv_date"),
-        ),
-        "l2_l3_message": events.select(
-            F.col("event_id").alias("msg_counter"),
-            F.col("event_type").alias("msg_code"),
-            F.col("props").alias("msg_name"),
-            F.col("ts").alias("msg_created"),
-        ),
-        "l2_l3_parameter": events.select(
-            F.col("event_id").alias("msg_counter"),
-            _coded(F.col("event_type"), PARAMETERS).alias("param_name"),
-            F.col("value").alias("param_value_number"),
-            F.when(F.col("event_type").isin("view", "signup"), "F").otherwise("ppm").alias("param_unit"),
-        ),
-        "l2_l3_meas_result": events.select(
-            F.col("event_id").alias("msg_counter"),
-            _coded(F.col("event_type"), AREAS).alias("area_id"),
-            F.col("user_id").cast("string").alias("heat_id"),
-            F.col("ts").alias("meas_time"),
-            F.col("event_type").alias("mode"),
-            F.col("event_type").alias("meas_code"),
-            F.lit(1).alias("param_count"),
-        ),
-        "l2_l3_chem_result": lineitem.select(
-            F.col("l_partkey").alias("msg_counter"),
-            F.when(F.col("l_linenumber") == 7, "CCM1").otherwise("LMS1").alias("area_id"),
-            line_heat.alias("heat_id"),
-            F.col("l_shipdate").alias("sample_time"),
-            F.col("l_shipdate").alias("analysis_time"),
-            F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("bad_sample"),
-            F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("is_final"),
-            F.col("l_linenumber").alias("elem_count"),
-        ),
-        "l2_l3_chem_result_element": part.select(
-            F.col("p_partkey").alias("msg_counter"),
-            F.col("p_size").alias("elem_type"),
-            _coded(F.col("p_type"), ELEMENT_NAMES).alias("elem_name"),
-            F.when(F.col("p_brand") != "Brand#1", F.col("p_retailprice")).alias("elem_value"),
-        ),
-        "l2_l3_heat_addition": lineitem.select(
-            F.col("l_partkey").alias("msg_counter"),
-            F.col("l_linenumber").alias("addition_no"),
-            line_area.alias("area_id"),
-            line_heat.alias("heat_id"),
-            F.col("l_shipdate").alias("addition_time"),
-        ),
-        "l2_l3_heat_addition_material": typed_lines.select(
-            F.col("l_partkey").alias("msg_counter"),
-            F.col("l_linenumber").alias("addition_no"),
-            line_heat.alias("heat_id"),
-            _coded(F.col("p_type"), MATERIALS).alias("material_id"),
-            F.col("l_quantity").alias("weight_act"),
-            F.when(F.col("l_returnflag") != "A", F.col("l_linenumber").cast("double")).alias("length_act"),
-        ),
-        "l2_l3_heat_report_ccm": lineitem.select(
-            F.col("l_returnflag").alias("area_id"),
-            line_heat.alias("heat_id"),
-            F.col("l_linestatus").alias("heat_order_id"),
-            F.col("l_linenumber").cast("string").alias("grade_id"),
-        ),
-        "l2_l3_heat_report_lms": orders.select(
-            F.col("o_orderkey").alias("report_no"),
-            (F.col("o_custkey") + 1100000000).cast("string").alias("heat_id"),
-            F.col("o_orderpriority").alias("area_id"),
-            F.col("o_orderstatus").alias("heat_order_id"),
-            F.col("o_orderdate").alias("heat_start"),
-            F.col("o_orderdate").alias("heat_stop"),
-            F.col("o_totalprice").alias("total_treatment_time"),
-            F.col("o_totalprice").alias("total_energy"),
-            F.col("o_totalprice").alias("total_power_on"),
-            F.col("o_totalprice").alias("total_alloys"),
-        ),
-        "rpt_ref": lineitem.select(
-            F.col("l_orderkey").alias("report_no"),
-            F.col("l_returnflag").alias("plant_id"),
-            F.col("l_linenumber").alias("stand_no"),
-            F.col("l_shipdate").alias("ladle_arrival"),
-            F.col("l_shipdate").alias("ladle_departure"),
-            *[
-                F.col(source).alias(name)
-                for source, names in {
-                    "l_quantity": "initial_metal_weight initial_slag_weight final_metal_weight "
-                    "final_slag_weight degassing_time req_degassing_time",
-                    "l_extendedprice": "actual_target_temp_min actual_target_temp_aim "
-                    "actual_target_temp_max est_temp_at_stop deep_vacuum_time pump_down_time "
-                    "leak_rate_filter leak_rate_filter_and_tank",
-                    "l_shipdate": "leak_rate_filter_date leak_rate_filter_and_tank_date",
-                }.items()
-                for name in names.split()
-            ],
-        ),
+
+def v_ms_summary(t: Tables) -> DataFrame:
+    uncast = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
+    return t("orders").select(
+        _order_heat().alias("mlh_heat_no"),
+        F.col("o_orderpriority").alias("blg_grade_id"),
+        F.when(~uncast, F.col("o_orderdate")).alias("mlh_cast_date"),
+        _coded(F.col("o_orderstatus"), {"F": "0", "O": "1"}).alias("mhr_cc_freeopen"),
+        F.col("o_orderstatus").alias("mhr_crew_id"),
+    )
+
+
+def melt_heat_event(t: Tables) -> DataFrame:
+    return t("lineitem").select(
+        _line_heat().alias("mlh_heat_no"),
+        _coded(F.concat("l_returnflag", "l_linestatus"), EVENT_CODES).alias("mev_event_id"),
+        F.col("l_shipdate").alias("mhv_date"),
+    )
+
+
+def l2_l3_message(t: Tables) -> DataFrame:
+    return t("events").select(
+        F.col("event_id").alias("msg_counter"),
+        F.col("event_type").alias("msg_code"),
+        F.col("props").alias("msg_name"),
+        F.col("ts").alias("msg_created"),
+    )
+
+
+def l2_l3_parameter(t: Tables) -> DataFrame:
+    return t("events").select(
+        F.col("event_id").alias("msg_counter"),
+        _coded(F.col("event_type"), PARAMETERS).alias("param_name"),
+        F.col("value").alias("param_value_number"),
+        F.when(F.col("event_type").isin("view", "signup"), "F").otherwise("ppm").alias("param_unit"),
+    )
+
+
+def l2_l3_meas_result(t: Tables) -> DataFrame:
+    return t("events").select(
+        F.col("event_id").alias("msg_counter"),
+        _coded(F.col("event_type"), AREAS).alias("area_id"),
+        F.col("user_id").cast("string").alias("heat_id"),
+        F.col("ts").alias("meas_time"),
+        F.col("event_type").alias("mode"),
+        F.col("event_type").alias("meas_code"),
+        F.lit(1).alias("param_count"),
+    )
+
+
+def l2_l3_chem_result(t: Tables) -> DataFrame:
+    return t("lineitem").select(
+        F.col("l_partkey").alias("msg_counter"),
+        F.when(F.col("l_linenumber") == 7, "CCM1").otherwise("LMS1").alias("area_id"),
+        _line_heat().alias("heat_id"),
+        F.col("l_shipdate").alias("sample_time"),
+        F.col("l_shipdate").alias("analysis_time"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("bad_sample"),
+        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("is_final"),
+        F.col("l_linenumber").alias("elem_count"),
+    )
+
+
+def l2_l3_chem_result_element(t: Tables) -> DataFrame:
+    return t("part").select(
+        F.col("p_partkey").alias("msg_counter"),
+        F.col("p_size").alias("elem_type"),
+        _coded(F.col("p_type"), ELEMENT_NAMES).alias("elem_name"),
+        F.when(F.col("p_brand") != "Brand#1", F.col("p_retailprice")).alias("elem_value"),
+    )
+
+
+def l2_l3_heat_addition(t: Tables) -> DataFrame:
+    area = F.when(F.col("l_returnflag") == "N", "VTD1").otherwise(
+        _coded(F.col("l_linestatus"), {"O": "LMS1", "F": "LMS2"})
+    )
+    return t("lineitem").select(
+        F.col("l_partkey").alias("msg_counter"),
+        F.col("l_linenumber").alias("addition_no"),
+        area.alias("area_id"),
+        _line_heat().alias("heat_id"),
+        F.col("l_shipdate").alias("addition_time"),
+    )
+
+
+def l2_l3_heat_addition_material(t: Tables) -> DataFrame:
+    return _typed_lines(t).select(
+        F.col("l_partkey").alias("msg_counter"),
+        F.col("l_linenumber").alias("addition_no"),
+        _line_heat().alias("heat_id"),
+        _coded(F.col("p_type"), MATERIALS).alias("material_id"),
+        F.col("l_quantity").alias("weight_act"),
+        _line_length().alias("length_act"),
+    )
+
+
+def l2_l3_heat_report_ccm(t: Tables) -> DataFrame:
+    return t("lineitem").select(
+        F.col("l_returnflag").alias("area_id"),
+        _line_heat().alias("heat_id"),
+        F.col("l_linestatus").alias("heat_order_id"),
+        F.col("l_linenumber").cast("string").alias("grade_id"),
+    )
+
+
+def l2_l3_heat_report_lms(t: Tables) -> DataFrame:
+    amounts = "total_treatment_time total_energy total_power_on total_alloys".split()
+    return t("orders").select(
+        F.col("o_orderkey").alias("report_no"),
+        (F.col("o_custkey") + 1100000000).cast("string").alias("heat_id"),
+        F.col("o_orderpriority").alias("area_id"),
+        F.col("o_orderstatus").alias("heat_order_id"),
+        F.col("o_orderdate").alias("heat_start"),
+        F.col("o_orderdate").alias("heat_stop"),
+        *[F.col("o_totalprice").alias(name) for name in amounts],
+    )
+
+
+def rpt_ref(t: Tables) -> DataFrame:
+    stand_ins = {
+        "l_orderkey": "report_no",
+        "l_returnflag": "plant_id",
+        "l_linenumber": "stand_no",
+        "l_shipdate": "ladle_arrival ladle_departure leak_rate_filter_date "
+        "leak_rate_filter_and_tank_date",
+        "l_quantity": "initial_metal_weight initial_slag_weight final_metal_weight "
+        "final_slag_weight degassing_time req_degassing_time",
+        "l_extendedprice": "actual_target_temp_min actual_target_temp_aim actual_target_temp_max "
+        "est_temp_at_stop deep_vacuum_time pump_down_time leak_rate_filter "
+        "leak_rate_filter_and_tank",
     }
-    return SourceCatalog.from_frames(frames)
+    return t("lineitem").select(
+        *[F.col(source).alias(name) for source, names in stand_ins.items() for name in names.split()]
+    )
 
 
-def customer_plant(spark: SparkSession, sf_dir: str) -> SourceCatalog:
-    orders = table(spark, sf_dir, "orders")
-    lineitem = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part")
-    customer_heat = F.col("o_custkey").cast("string")
-    lines = lineitem.join(
-        part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey"
-    ).join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-    frames = {
-        "l2_l3_heat_addition": orders.select(
-            F.col("o_orderkey").alias("msg_counter"),
-            F.lit(1).alias("addition_no"),
-            F.when(F.col("o_orderpriority") == "1-URGENT", "VTD1")
-            .otherwise(F.concat(F.lit("LMS"), F.substring("o_orderpriority", 1, 1)))
-            .alias("area_id"),
-            customer_heat.alias("heat_id"),
-            F.col("o_orderdate").alias("addition_time"),
-        ),
-        "l2_l3_heat_addition_material": lines.select(
+def customer_addition(t: Tables) -> DataFrame:
+    area = F.when(F.col("o_orderpriority") == "1-URGENT", "VTD1").otherwise(
+        F.concat(F.lit("LMS"), F.substring("o_orderpriority", 1, 1))
+    )
+    return t("orders").select(
+        F.col("o_orderkey").alias("msg_counter"),
+        F.lit(1).alias("addition_no"),
+        area.alias("area_id"),
+        F.col("o_custkey").cast("string").alias("heat_id"),
+        F.col("o_orderdate").alias("addition_time"),
+    )
+
+
+def customer_material(t: Tables) -> DataFrame:
+    customers = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return (
+        _typed_lines(t)
+        .join(customers, "l_orderkey")
+        .select(
             F.col("l_orderkey").alias("msg_counter"),
             F.col("l_linenumber").alias("addition_no"),
-            customer_heat.alias("heat_id"),
+            F.col("o_custkey").cast("string").alias("heat_id"),
             _coded(F.col("p_type"), MATERIALS).alias("material_id"),
             F.col("l_quantity").alias("weight_act"),
-            F.when(F.col("l_returnflag") != "A", F.col("l_linenumber").cast("double")).alias("length_act"),
-        ),
-    }
-    return SourceCatalog.from_frames(frames)
+            _line_length().alias("length_act"),
+        )
+    )
+
+
+ORDER_PLANT: dict[str, View] = {
+    view.__name__: view
+    for view in (
+        melt_heat,
+        melt_heat_result,
+        melt_heat_consumption,
+        work_order_link,
+        work_order,
+        product_code_route,
+        route_sequence,
+        multiple_route,
+        v_ms_summary,
+        melt_heat_event,
+        l2_l3_message,
+        l2_l3_parameter,
+        l2_l3_meas_result,
+        l2_l3_chem_result,
+        l2_l3_chem_result_element,
+        l2_l3_heat_addition,
+        l2_l3_heat_addition_material,
+        l2_l3_heat_report_ccm,
+        l2_l3_heat_report_lms,
+        rpt_ref,
+    )
+}
+CUSTOMER_PLANT: dict[str, View] = {
+    "l2_l3_heat_addition": customer_addition,
+    "l2_l3_heat_addition_material": customer_material,
+}
+
+
+def _plant(spark: SparkSession, sf_dir: str, views: dict[str, View]) -> SourceCatalog:
+    read: dict[str, DataFrame] = {}
+
+    def tables(name: str) -> DataFrame:
+        if name not in read:
+            read[name] = table(spark, sf_dir, name)
+        return read[name]
+
+    return SourceCatalog({name: (lambda view=view: view(tables)) for name, view in views.items()})
+
+
+def order_plant(spark: SparkSession, sf_dir: str) -> SourceCatalog:
+    return _plant(spark, sf_dir, ORDER_PLANT)
+
+
+def customer_plant(spark: SparkSession, sf_dir: str) -> SourceCatalog:
+    return _plant(spark, sf_dir, CUSTOMER_PLANT)

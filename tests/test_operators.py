@@ -1,0 +1,220 @@
+import datetime as dt
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from heatwright.functions.scalars import (
+    free_open_text,
+    lenient_bigint,
+    seconds_between,
+    strip,
+    strip_sql,
+    wide_name,
+    zero_to_null,
+)
+from heatwright.operators.keyed import delete_by_key, merge_upsert, replace_by_key
+from heatwright.operators.latest import latest_non_null, newest_per_key, top_n_per_key
+from heatwright.operators.lookups import enrich, left_join_split, spread_key
+from heatwright.operators.quality import split_valid
+from heatwright.sources.catalog import JdbcTable, SchemaMismatch, SourceCatalog, conform, heat_list
+from heatwright.sources.schemas import SOURCES
+
+
+def test_lenient_bigint(spark):
+    texts = [" 1100064818 ", "abc", None, "", "1.9", "-1.9", "inf", "nan", "1e3", "9007199254740993"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [row[0] for row in df.select(lenient_bigint(F.col("t"))).collect()]
+    assert got == [1100064818, 0, 0, 0, 1, -1, 0, 0, 1000, 9007199254740993]
+
+
+def test_small_functions(spark):
+    df = spark.createDataFrame(
+        [(0.0, -0.0, None, "0", " \t x\n"), (2.0, 1.0, 5.0, None, "y")],
+        "a double, b double, c double, flag string, text string",
+    )
+    got = df.select(
+        zero_to_null(F.col("a")),
+        zero_to_null(F.col("b")),
+        zero_to_null(F.col("c")),
+        free_open_text(F.col("flag")),
+        strip(F.col("text")),
+        F.expr(strip_sql("text")),
+    )
+    assert [tuple(r) for r in got.collect()] == [
+        (None, None, None, "FALSE", "x", "x"),
+        (2.0, 1.0, 5.0, "TRUE", "y", "y"),
+    ]
+    assert wide_name("WEIGHT_", " Low  Sulfur Carbon") == "WEIGHT_Low_Sulfur_Carbon"
+
+
+def test_seconds_between(spark):
+    start, end = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 1, 234567)
+    df = spark.createDataFrame([(start, end), (end, start), (None, end)], "a timestamp_ntz, b timestamp_ntz")
+    got = [row[0] for row in df.select(seconds_between(F.col("a"), F.col("b"))).collect()]
+    assert got == [1.235, -1.235, None]
+
+
+records = st.lists(
+    st.tuples(st.integers(0, 3), st.integers(0, 5), st.one_of(st.none(), st.integers(0, 9))),
+    min_size=1,
+    max_size=40,
+)
+few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+@few
+@given(data=records, n=st.integers(1, 6))
+def test_top_n_in_two_stages_equals_sorting(spark, data, n):
+    df = spark.createDataFrame(data, "k int, a int, b int").repartition(3)
+    order = [F.col("a").desc(), F.col("b").desc()]
+    low = -1
+    expected = []
+    for key in {row[0] for row in data}:
+        group = sorted((row for row in data if row[0] == key), key=lambda r: (r[1], low if r[2] is None else r[2]))
+        expected += group[::-1][:n]
+    expected.sort(key=str)
+    assert sorted((tuple(r) for r in top_n_per_key(df, ["k"], order, n).collect()), key=str) == expected
+    import heatwright.operators.latest as latest
+
+    before = latest.SINGLE_STAGE_ROWS
+    latest.SINGLE_STAGE_ROWS = 0
+    try:
+        two_stage = top_n_per_key(df, ["k"], order, n, salts=4).collect()
+    finally:
+        latest.SINGLE_STAGE_ROWS = before
+    assert sorted((tuple(r) for r in two_stage), key=str) == expected
+
+
+@few
+@given(data=records)
+def test_latest_non_null_against_loop(spark, data):
+    df = spark.createDataFrame([(k, i, b) for i, (k, _, b) in enumerate(data)], "k int, i int, b int")
+    expected = {}
+    for key, _, value in data:
+        expected[key] = value if value is not None else expected.get(key)
+    got = latest_non_null(df.repartition(3), ["k"], ["b"], ["i"]).collect()
+    assert {row["k"]: row["b"] for row in got} == expected
+
+
+def test_latest_non_null_drops_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, 1), (1, 1, None)], "k int, i int, b int")
+    assert rows(latest_non_null(df, ["k"], ["b"], ["i"])) == [(1, None)]
+
+
+def test_newest_cut_happens_before_the_shuffle(spark):
+    df = spark.range(100).withColumn("k", F.col("id") % 3)
+    newest = newest_per_key(df, ["k"], [F.col("id").desc()])
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
+def test_enrich_default_only_without_a_row(spark):
+    report = spark.createDataFrame([("a",), ("b",), ("c",), (None,), (None,)], "heat string")
+    lookup = spark.createDataFrame([("a", 1.0, "u"), ("b", None, None)], "heat string, v double, u string")
+    got = enrich(report, lookup, "heat", {"v": "V", "u": "U"}, {"V": 0, "U": "---"})
+    expected = [(None, None, None), (None, None, None), ("a", 1.0, "u"), ("b", None, None), ("c", 0.0, "---")]
+    assert rows(got) == expected
+    spread = spread_key(report, "heat", "filled")
+    got = enrich(spread, lookup, "filled", {"v": "V", "u": "U"}, {"V": 0, "U": "---"}, "heat", "heat")
+    assert rows(got, "heat", "V", "U") == expected
+
+
+def test_spread_key_keeps_keys_and_never_meets_one(spark):
+    report = spark.createDataFrame([(None, i) for i in range(50)] + [("7", 0)], "heat string, i int")
+    keys = [row["k"] for row in spread_key(report, "heat", "k").collect()]
+    assert len(set(keys)) == 51 and "7" in keys
+    assert all(key == "7" or key.startswith(" ") for key in keys)
+
+
+@few
+@given(
+    left=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 3)), max_size=12),
+    right=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 3)), max_size=12),
+)
+def test_left_join_split_equals_left_join(spark, left, right):
+    a = spark.createDataFrame(left, "k int, x int")
+    b = spark.createDataFrame(right, "k int, y int")
+    assert rows(left_join_split(a, b, ["k"])) == rows(a.join(b, "k", "left"))
+
+
+def test_delete_refuses_small_keys_and_keeps_null_keys(spark):
+    target = spark.createDataFrame([(1001, "a"), (1001, "b"), (1002, "c"), (None, "d"), (999, "e")], "k long, v string")
+    keys = spark.createDataFrame([(1001,), (999,), (None,)], "k long")
+    assert rows(delete_by_key(target, keys, "k"), "v") == [("c",), ("d",), ("e",)]
+    assert rows(delete_by_key(target, keys, "k", minimum=None), "v") == [("c",), ("d",)]
+
+
+def test_replace_fills_missing_columns(spark):
+    target = spark.createDataFrame([(1001, "a", 1), (1002, "b", 2)], "k long, v string, w int")
+    new = spark.createDataFrame([("z", 1001)], "v string, k long")
+    replaced = replace_by_key(target, new.select("k"), new, "k")
+    assert rows(replaced) == [(1001, "z", None), (1002, "b", 2)]
+    assert rows(replace_by_key(replaced, new.select("k"), new, "k")) == rows(replaced)
+
+
+keys = st.one_of(st.none(), st.sampled_from("ab"))
+neighbours = st.lists(st.tuples(keys, keys, st.integers(0, 99)), max_size=8)
+
+
+@few
+@given(old=neighbours, new=neighbours)
+def test_upsert_against_row_by_row(spark, old, new):
+    target = spark.createDataFrame([(*row, "old") for row in old], "h string, n string, ip int, extra string")
+    updates = spark.createDataFrame(
+        [(*row, "new", i) for i, row in enumerate(new)], "h string, n string, ip int, extra string, seq int"
+    )
+    expected = [[h, n, ip, "old"] for h, n, ip in old]
+    for h, n, ip in new:
+        hits = [row for row in expected if None not in (h, n) and row[:2] == [h, n]]
+        for row in hits:
+            row[2] = ip
+        if not hits:
+            expected.append([h, n, ip, "new"])
+    # Of several updates for a new key the last wins as a whole row; all rows here carry "new".
+    got = merge_upsert(target, updates, ["h", "n"], ["ip"], [F.col("seq").desc()])
+    assert sorted(map(str, (list(r) for r in got.collect()))) == sorted(map(str, expected))
+
+
+def test_split_valid_first_reason_and_unknown(spark):
+    df = spark.createDataFrame([(1, 5), (-1, 5), (-1, -5), (None, 5), (1, None)], "a int, b int")
+    good, bad = split_valid(df, {"a": F.col("a") > 0, "b": F.col("b") > 0})
+    assert rows(good) == [(1, 5)]
+    assert rows(bad) == sorted([(-1, 5, "a"), (-1, -5, "a"), (None, 5, "a"), (1, None, "b")], key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+def test_conform_checks_and_casts(spark):
+    df = spark.createDataFrame([(1, " 7 ", 2)], "AREA_ID int, HEAT_ID string, X int")
+    with pytest.raises(SchemaMismatch, match="area_id: int.*heat_order_id: missing"):
+        conform(df, SOURCES["l2_l3_heat_report_ccm"])
+    ok = spark.sql("SELECT CAST(5 AS DECIMAL(10,0)) AS MSG_COUNTER, 'O2' param_name, 1 param_value_number, 'x' param_unit, 9 more")
+    got = conform(ok, SOURCES["l2_l3_parameter"])
+    assert got.schema == SOURCES["l2_l3_parameter"] or [f.dataType for f in got.schema] == [
+        f.dataType for f in SOURCES["l2_l3_parameter"]
+    ]
+    assert rows(got) == [(5, "O2", 1.0, "x")]
+
+
+def test_catalog_parquet_merge_and_unknown(spark, plant, tmp_path):
+    for name in ("melt_heat", "work_order"):
+        plant[name].write.parquet(f"{tmp_path}/{name}.parquet")
+    stored = SourceCatalog.from_parquet(spark, str(tmp_path), ["melt_heat", "work_order"])
+    assert rows(stored["melt_heat"]) == rows(plant["melt_heat"])
+    both = plant.merged(stored)
+    assert "melt_heat" in both and rows(both["work_order_link"]) == rows(plant["work_order_link"])
+    with pytest.raises(KeyError):
+        stored["nothing"]
+
+
+def test_heat_list_strips_and_deduplicates(spark):
+    assert rows(heat_list(spark, [5, "5 ", " 6"])) == [("5",), ("6",)]
+
+
+def test_jdbc_options_split_the_scan():
+    table = JdbcTable("dbo.melt", "report_no", 0, 1000, 8)
+    options = table.options("jdbc:x:y", {"user": "me"})
+    assert options["numPartitions"] == "8" and options["partitionColumn"] == "report_no"
+    assert (options["lowerBound"], options["upperBound"], options["user"]) == ("0", "1000", "me")
+    assert "partitionColumn" not in JdbcTable("dbo.melt").options("jdbc:x:y", {})
