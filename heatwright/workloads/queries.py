@@ -215,9 +215,10 @@ def heat_sheet_corrected(spark, sf_dir):
 
 
 @query
-def heat_sheet_pattern(spark, sf_dir):
-    """Heats chosen by a LIKE pattern."""
-    return _lower(heat_sheet(order_plant(spark, sf_dir), heats="%7_"))
+def heat_sheet_selected(spark, sf_dir):
+    """Heats chosen by a relation: all that the caster reported."""
+    src = order_plant(spark, sf_dir)
+    return _lower(heat_sheet(src, heats=src["l2_l3_heat_report_ccm"].select("heat_id")))
 
 
 @query
