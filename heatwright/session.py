@@ -30,6 +30,8 @@ def local_session(cpus: int | str = "*", app: str = "heatwright", **settings: st
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # One wide report has more generated classes than the default cache of 100 holds.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         # No call site per column expression: building a wide plan takes thousands of them.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
