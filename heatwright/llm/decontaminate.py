@@ -2,8 +2,8 @@
 
 A benchmark item of m characters that occurs in a text with at most k edits shares m - q + 1 - k * q of its
 q-grams with it, all within k diagonals of each other. Texts and items are normalised alike (A-Z lowered,
-every run of other ASCII characters than letters and digits one blank), and their q-grams are plain 64-bit
-reads at every offset. A bitmap of the items' grams marks candidate offsets; only stretches dense enough for
+every run of other ASCII characters than letters and digits one blank), and their q-grams are hashed
+at every offset from two 64-bit reads. A bitmap of the items' grams marks candidate offsets; only stretches dense enough for
 some item go on to exact look-up, where the shared grams are counted per item in overlapping diagonal bands.
 Bands that reach the item's bound are aligned within the band, and a hit is an alignment within the budget.
 
@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 
 from heatwright.llm.texts import arrow_rows, as_bytes, code_points, on_batches, only, pieces
 
-Q = 8
+# Q-gram length, from 8 to 16.
+Q = 12
 # Edits allowed, as a percentage of the item's normalised length.
 EDIT_PERCENT = 5
 # Lengths of the stretch of text in which candidate offsets are counted first; the most telling one is used.
 STRETCHES = range(16, 129)
 # Offsets of an unrelated text that are candidates, roughly; it only serves the choice of the stretch.
-CHANCE = 0.3
+CHANCE = 0.1
 PART_BYTES = 4_000_000
 
 HITS = pa.schema(
@@ -54,6 +55,7 @@ for _code in range(128):
         _FOLD[_code] = 32
 _FOLD_TABLE = _FOLD.tobytes()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_LAST = np.uint64(0xD6E8FEB86659FD93)
 
 
 def normalised(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -67,11 +69,13 @@ def normalised(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams(folded: np.ndarray) -> np.ndarray:
-    """The q-gram at every offset, read as one number."""
-    n = len(folded) - Q + 1
-    if n < 1:
+    """The q-gram at every offset as one number, from its first and its last eight bytes."""
+    n = len(folded) - 7
+    if n < Q - 7:
         return np.zeros(0, np.uint64)
-    return np.ndarray((n,), "<u8", buffer=np.ascontiguousarray(folded), strides=(1,)).astype(np.uint64)
+    eights = np.ndarray((n,), "<u8", buffer=np.ascontiguousarray(folded), strides=(1,)).astype(np.uint64)
+    eights *= _MIX
+    return eights[: n - Q + 8] ^ (eights[Q - 8 :] * _LAST)
 
 
 @dataclass
