@@ -32,21 +32,23 @@ SHINGLE = 5
 # Links need 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
 
-# Signature: as many hash functions as the sketch has bytes; the first VALUES of them, in full, feed the
-# forest. Each tree reads the values from its own starting point on, round the circle.
-HASHES = 256
+# Values of the signature. Each tree reads them from its own starting point on, round the circle.
 VALUES = 64
 TREES = 8
+# Bytes of the sketch: one more hash function each, for documents that have neighbours in the forest.
+SKETCH = 512
 # Prefix lengths (values) tried from the shallowest on, and the members up to which a region is compared.
 DEPTHS = (2, 4, 6, 8, 12, 16, 32, 64)
 REGION = 2048
-# Sketch agreement below which a pair is not verified: over four standard errors below the threshold.
-SKETCH_LEAST = 0.75
+# Sketch agreement below which a pair is not verified: four standard errors below the threshold.
+SKETCH_LEAST = 0.785
+# Buckets of 32,768 bits in the filter that spares most texts the shuffle to their shingle sets.
+FILTER_BUCKETS = 256
 # Partners a document names per region in each round; None names all that are left.
 ROUNDS = (3, 3, None)
 
-_FACTORS = (mixed(np.arange(1, HASHES + 1)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_SHIFTS = (mixed(np.arange(1001, 1001 + HASHES)) >> np.uint64(32)).astype(np.uint32)
+_FACTORS = (mixed(np.arange(1, VALUES + SKETCH + 1)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_SHIFTS = (mixed(np.arange(1001, 1001 + VALUES + SKETCH)) >> np.uint64(32)).astype(np.uint32)
 _PLACES = mixed(np.arange(5001, 5001 + SHINGLE)) | np.uint64(1)
 
 SIGNED = pa.schema(
@@ -55,10 +57,9 @@ SIGNED = pa.schema(
         ("n_shingles", pa.int64()),
         ("set_key", pa.binary()),
         ("tree_values", pa.binary()),
-        ("sketch", pa.binary()),
     ]
 )
-SIGNED_DDL = "doc_id bigint, n_shingles bigint, set_key binary, tree_values binary, sketch binary"
+SIGNED_DDL = "doc_id bigint, n_shingles bigint, set_key binary, tree_values binary"
 
 
 def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -76,13 +77,14 @@ def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The least value of each hash function over the set."""
+def signature(shingles: np.ndarray, functions: slice) -> np.ndarray:
+    """The least value of each of some hash functions over the set."""
     low = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.full(HASHES, np.uint32(0xFFFFFFFF))
-    for start in range(0, len(low), 1024):
-        part = _FACTORS[:, None] * low[None, start : start + 1024]
-        part += _SHIFTS[:, None]
+    factors, shifts = _FACTORS[functions, None], _SHIFTS[functions, None]
+    least = np.full(len(factors), np.uint32(0xFFFFFFFF))
+    for start in range(0, len(low), 512):
+        part = factors * low[None, start : start + 512]
+        part += shifts
         np.minimum(least, part.min(axis=1), out=least)
     return least
 
@@ -90,16 +92,20 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 def _signed_row(text: bytes) -> tuple:
     shingles = shingle_hashes(text)
     if not len(shingles):
-        return 0, None, None, None
-    least = signature(shingles)
+        return 0, None, None
     return (
         len(shingles),
         hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(),
-        least[:VALUES].astype(">u4").tobytes(),
-        (least & np.uint32(0xFF)).astype(np.uint8).tobytes(),
+        signature(shingles, slice(VALUES)).astype(">u4").tobytes(),
     )
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """The low byte of each further hash function's least value."""
+    least = signature(shingles, slice(VALUES, None))
+    return (least & np.uint32(0xFF)).astype(np.uint8).tobytes()
+
+
 def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:
@@ -109,19 +115,21 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary()), ("sketch", pa.binary())])
     with np.errstate(over="ignore"):
         for batch in batches:
             for part in pieces(batch, 200):
-                sets = [shingle_hashes(text).tobytes() for text in as_bytes(part)]
-                yield arrow_rows(schema, [part.column("doc_id"), sets])
+                sets = [shingle_hashes(text) for text in as_bytes(part)]
+                yield arrow_rows(
+                    schema, [part.column("doc_id"), [s.tobytes() for s in sets], [sketch(s) for s in sets]]
+                )
 
 
 # ---------------------------------------------------------------- forest
 
 
 def forest_regions(reps: DataFrame) -> DataFrame:
-    """``region`` (hash of tree and prefix) and ``node`` of every run with two or more members.
+    """``region`` (hash of tree and prefix), ``tree`` and ``node`` of every run with two or more members.
 
     Each tree's rows are counted per prefix; runs above REGION go on to the next depth. A run that still
     is too long at the last depth (thousands of different sets agreeing on all values) keeps that depth:
@@ -147,7 +155,7 @@ def forest_regions(reps: DataFrame) -> DataFrame:
         sizes = rest.groupBy("region").agg(F.count("*").alias("members")).filter("members > 1")
         rest = staged(rest.join(sizes, "region"), "forest")
         last = depth == DEPTHS[-1]
-        done.append(rest.filter(F.lit(last) | (F.col("members") <= REGION)).select("region", "node"))
+        done.append(rest.filter(F.lit(last) | (F.col("members") <= REGION)).select("region", "tree", "node"))
         rest = rest.filter(F.col("members") > REGION).drop("region", "members")
         if last or rest.isEmpty():
             break
@@ -162,11 +170,15 @@ def _agreement(block: np.ndarray, others: np.ndarray) -> np.ndarray:
     for i, row in enumerate(block):
         out[i] = np.count_nonzero(others == row, axis=1)
     # Bytes of different values agree once in 256.
-    return (out / HASHES - 1 / 256) / (1 - 1 / 256)
+    return (out / SKETCH - 1 / 256) / (1 - 1 / 256)
+
 
+def _region_pairs(nodes, comps, sketches, earlier, tried, most) -> Iterator[tuple[int, int]]:
+    """Pairs of one region worth verifying: different components, not tried, sketches alike.
 
-def _region_pairs(nodes, comps, sketches, tried, most) -> Iterator[tuple[int, int]]:
-    """Pairs of one region worth verifying: different components, not tried, sketches alike."""
+    ``earlier`` has the members' regions in the trees before this one: a pair is named in the first tree
+    where it shares a region, and only there.
+    """
     n = len(nodes)
     if n < 2 or (comps == comps[0]).all():
         return
@@ -178,6 +190,7 @@ def _region_pairs(nodes, comps, sketches, tried, most) -> Iterator[tuple[int, in
         else:
             around = slice(start, min(n, k + REGION))
         other = comps[around] != comps[k]
+        other &= ~((earlier[around] == earlier[k]) & (earlier[k] != 0)).any(axis=1)
         if not other.any():
             continue
         alike = _agreement(sketches[k : k + 1], sketches[around])[0]
@@ -222,11 +235,14 @@ def _pair_batches(most: int | None):
             if (comps == comps[0]).all():
                 continue
             sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8)
+            tree = group.column("tree")[0].as_py()
+            homes = np.array(group.column("homes").to_pylist(), np.int64)
             out.update(
                 _region_pairs(
                     group.column("node").to_numpy(),
                     comps,
-                    sketches.reshape(-1, HASHES),
+                    sketches.reshape(-1, SKETCH),
+                    homes[:, :tree],
                     group.column("tried").to_pylist(),
                     most,
                 )
@@ -286,13 +302,44 @@ def star_components(links: DataFrame) -> DataFrame:
     )
 
 
+def may_hold(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose id is not among ``nodes``: a bitmap of fixed size, one bit per hash.
+
+    The bitmap has FILTER_BUCKETS rows of 4 KiB however many nodes there are; bits hit by chance only let
+    rows through that the join behind this drops.
+    """
+    bits = F.lit(FILTER_BUCKETS * 32_768)
+
+    def bit(column: str):
+        return F.pmod(F.xxhash64(column), bits)
+
+    bitmaps = nodes.groupBy(F.bitmap_bucket_number(bit("node")).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit("node"))).alias("_bitmap")
+    )
+    place = F.bitmap_bit_position(bit("doc_id"))
+    byte = F.conv(F.hex(F.substring("_bitmap", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, (place % 8).cast("int")) == 1
+    return (
+        docs.withColumn("_bucket", F.bitmap_bucket_number(bit("doc_id")))
+        .join(F.broadcast(bitmaps), "_bucket")
+        .filter(held)
+        .drop("_bucket", "_bitmap")
+    )
+
+
 def find_links(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
     """``node``, ``comp`` of all representatives that are linked with another one; None if none is."""
     regions = forest_regions(reps)
-    near = regions.select("node").distinct()
-    sets = docs.join(near.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    sets = staged(on_batches(sets, _shingle_batches, "node bigint, shingles binary"), "sets")
-    rows = regions.join(reps.select("node", "sketch"), "node")
+    # Each node's regions by tree, 0 where it stands alone.
+    homes = regions.groupBy("node").agg(
+        F.array(*[F.coalesce(F.max(F.when(F.col("tree") == t, F.col("region"))), F.lit(0)) for t in range(TREES)]).alias("homes")
+    )
+    homes = staged(homes, "homes")
+    sets = may_hold(docs, homes.select("node")).join(
+        homes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"
+    )
+    sets = staged(on_batches(sets, _shingle_batches, "node bigint, shingles binary, sketch binary"), "sets")
+    rows = regions.join(homes.join(sets.select("node", "sketch"), "node"), "node")
     tested: DataFrame | None = None
     comps: DataFrame | None = None
     for most in ROUNDS:
@@ -311,7 +358,7 @@ def find_links(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
                 if comps is not None
                 else members.withColumn("comp", F.col("node"))
             )
-        members = members.select("region", "node", "comp", "sketch", "tried")
+        members = members.select("region", "tree", "node", "homes", "comp", "sketch", "tried")
         sorted_rows = members.repartition("region").sortWithinPartitions("region", "node")
         pairs = staged(on_batches(sorted_rows, _pair_batches(most), "a bigint, b bigint").distinct(), "pairs")
         with_sets = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(
@@ -341,7 +388,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     own = signed.filter("set_key is not null and doc_id is not null")
     classes = staged(classes, "classes")
-    reps = own.join(classes, "set_key").filter("doc_id = node").select("node", "set_key", "tree_values", "sketch")
+    reps = own.join(classes, "set_key").filter("doc_id = node").select("node", "set_key", "tree_values")
     reps = staged(reps.dropDuplicates(["set_key"]), "reps")
     members = own.select("doc_id", "n_shingles", "set_key").join(classes, "set_key").drop("set_key")
     comps = find_links(docs, reps)
