@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heatwright.llm import decontaminate, mixing, near_dup, quality_rules
+from heatwright.llm import decontaminate, mixing, near_dup, pii, quality_rules
 from heatwright.llm.texts import staged, table
 
 
@@ -29,7 +29,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every identifier found replaced by its kind; ``n_chars`` follows the new text."""
-    return docs
+    return pii.redact(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

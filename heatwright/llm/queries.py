@@ -11,6 +11,7 @@ from heatwright.llm import (
     decontaminate,
     mixing,
     near_dup,
+    pii,
     quality_rules,
     token_count,
     url_filter,
@@ -30,6 +31,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
@@ -69,6 +74,7 @@ QUERIES = {
         op1_url_filter,
         op2_quality_rules,
         op3_decontamination,
+        op5_personal_data,
         op6_token_count,
         op7_mixing,
         op9_chat_format,
