@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from heatwright.llm import (
     chat_format,
     decontaminate,
+    lm_score,
     mixing,
     near_dup,
     pii,
+    quality_pu,
     quality_rules,
     token_count,
     url_filter,
@@ -31,6 +33,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -49,6 +55,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROBE_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_pu.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = only(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE_TEXT), (-7, 1, "assistant", PROBE_TEXT)], rows.schema)
@@ -74,9 +84,11 @@ QUERIES = {
         op1_url_filter,
         op2_quality_rules,
         op3_decontamination,
+        op4_lm_score,
         op5_personal_data,
         op6_token_count,
         op7_mixing,
+        op8_quality_classifier,
         op9_chat_format,
         op10_near_duplicates,
     )
