@@ -81,7 +81,7 @@ def best_paths(messages: DataFrame) -> DataFrame:
     )
     jumps = [staged(nodes, "replies")]
     longest = jumps[0].groupBy("conv_id").count().agg(F.max("count").alias("n")).first()["n"] or 0
-    while 2 ** len(jumps) < longest + 1:
+    while 2 ** (len(jumps) - 1) < longest:
         step = jumps[-1]
         doubled = (
             step.alias("n")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heatwright.llm.texts import arrow_rows, as_bytes, mixed, on_batches, only, pieces, staged
+from heatwright.llm.texts import arrow_rows, as_bytes, mixed, on_batches, only, pieces, staged, unused
 
 SHINGLE = 5
 # Links need 100 * intersection >= THRESHOLD * union.
@@ -42,8 +42,8 @@ DEPTHS = (2, 4, 6, 8, 12, 16, 32, 64)
 REGION = 2048
 # Sketch agreement below which a pair is not verified: four standard errors below the threshold.
 SKETCH_LEAST = 0.785
-# Buckets of 32,768 bits in the filter that spares most texts the shuffle to their shingle sets.
-FILTER_BUCKETS = 256
+# Buckets of 32,768 bits in the filter of the documents that need their shingle sets.
+FILTER_BUCKETS = 512
 # Partners a document names per region in each round; None names all that are left.
 ROUNDS = (3, 3, None)
 
@@ -137,28 +137,21 @@ def forest_regions(reps: DataFrame) -> DataFrame:
     """
     # The circle of values, doubled, so that each tree's order is one slice.
     ring = F.concat("tree_values", "tree_values")
-    step = VALUES // TREES
-    rest = reps.select(
-        "node",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(t).alias("tree"), F.substring(ring, 4 * step * t + 1, 4 * VALUES).alias("order"))
-                    for t in range(TREES)
-                ]
-            )
-        ).alias("o"),
-    ).select("node", "o.tree", "o.order")
+    step = 4 * VALUES // TREES
+    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    rest = reps.select("node", "tree_values", trees)
     done = []
     for depth in DEPTHS:
-        rest = rest.withColumn("region", F.xxhash64("tree", F.lit(depth), F.substring("order", 1, 4 * depth)))
+        prefix = F.substring(ring, F.col("tree") * step + 1, F.lit(4 * depth))
+        rest = rest.select("node", "tree", F.xxhash64("tree", F.lit(depth), prefix).alias("region"))
         sizes = rest.groupBy("region").agg(F.count("*").alias("members")).filter("members > 1")
         rest = staged(rest.join(sizes, "region"), "forest")
         last = depth == DEPTHS[-1]
         done.append(rest.filter(F.lit(last) | (F.col("members") <= REGION)).select("region", "tree", "node"))
-        rest = rest.filter(F.col("members") > REGION).drop("region", "members")
+        rest = rest.filter(F.col("members") > REGION).select("node", "tree")
         if last or rest.isEmpty():
             break
+        rest = rest.join(reps.select("node", "tree_values"), "node")
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -306,7 +299,7 @@ def may_hold(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``docs`` without most rows whose id is not among ``nodes``: a bitmap of fixed size, one bit per hash.
 
     The bitmap has FILTER_BUCKETS rows of 4 KiB however many nodes there are; bits hit by chance only let
-    rows through that the join behind this drops.
+    further rows through. No text is shuffled for it.
     """
     bits = F.lit(FILTER_BUCKETS * 32_768)
 
@@ -335,9 +328,8 @@ def find_links(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
         F.array(*[F.coalesce(F.max(F.when(F.col("tree") == t, F.col("region"))), F.lit(0)) for t in range(TREES)]).alias("homes")
     )
     homes = staged(homes, "homes")
-    sets = may_hold(docs, homes.select("node")).join(
-        homes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"
-    )
+    # The few sets that pass the bitmap by chance meet no pair below.
+    sets = may_hold(docs, homes.select("node"))
     sets = staged(on_batches(sets, _shingle_batches, "node bigint, shingles binary, sketch binary"), "sets")
     rows = regions.join(homes.join(sets.select("node", "sketch"), "node"), "node")
     tested: DataFrame | None = None
@@ -416,8 +408,9 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat a ``doc_id`` one stays; rows without an id stay.
     """
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    known = docs.filter("doc_id is not null").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    mine, copy = unused(docs, "_gone"), unused(docs, "_copy")
+    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias(mine)).distinct()
+    known = docs.filter("doc_id is not null").join(gone, F.col("doc_id") == F.col(mine), "left_anti")
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    known = known.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy")
+    known = known.withColumn(copy, F.row_number().over(first)).filter(F.col(copy) == 1).drop(copy)
     return known.unionByName(docs.filter("doc_id is null"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heatwright.llm.texts import only, staged
+from heatwright.llm.texts import only, staged, unused
 
 # Kinds in the order in which they are listed, and what finds them. Runs are possessive and
 # begin where a run begins, so every text is read in linear time.
@@ -246,10 +246,11 @@ def redact(docs: DataFrame) -> DataFrame:
         .filter(F.size("spans") > 0)
         .dropDuplicates(["mark_id", "mark"])
     )
+    mark = unused(docs, "_mark")
     joined = (
-        docs.withColumn("_mark", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+        docs.withColumn(mark, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
         .alias("d")
-        .join(spans.alias("m"), _same_row("_mark"), "left")
+        .join(spans.alias("m"), _same_row(mark), "left")
     )
     text = F.col("d.text")
     done = F.aggregate(

@@ -37,7 +37,7 @@ UNLABELLED = 20_000
 
 STEPS = 400
 RATE = 0.05
-SHRINK = 1e-4
+SHRINK = 5.0  # pull of the weights to zero, divided by the number of documents fitted on
 PAIRS = 64
 SYMBOLS = b"#*$%&|<>"
 MARKS = b".,;:?"
@@ -140,6 +140,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def _fit(good: np.ndarray, rest: np.ndarray, prior: float | None) -> np.ndarray:
     """Weights (last one the intercept). Without a prior: positives against unlabelled, as if those were bad."""
     w = np.zeros(good.shape[1])
+    shrink = SHRINK / (len(good) + len(rest))
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
         p, u = _sigmoid(good @ w), _sigmoid(rest @ w)
@@ -151,7 +152,7 @@ def _fit(good: np.ndarray, rest: np.ndarray, prior: float | None) -> np.ndarray:
             # Logistic loss of calling a bad one good: log(1 + exp(score)).
             risk = np.mean(np.logaddexp(0, rest @ w)) - prior * np.mean(np.logaddexp(0, good @ w))
             grad = prior * as_good + as_bad if risk >= 0 else -as_bad
-        grad = grad + SHRINK * w
+        grad = grad + shrink * w
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad**2
         w = w - RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -174,10 +175,20 @@ class Classifier:
         self.prior = 0.5
         if len(good) and len(rest):
             good, rest = self._scaled(good), self._scaled(rest)
-            first = _fit(good, rest, None)
-            self.prior = class_prior(good @ first, rest @ first)
+            self.prior = self._prior(good, rest)
             self.weights = _fit(good, rest, self.prior)
 
+    @staticmethod
+    def _prior(good: np.ndarray, rest: np.ndarray) -> float:
+        """Each half is judged by what was fitted on the other: a text in both samples must not count twice."""
+        if min(len(good), len(rest)) < 4:
+            return 0.5
+        priors = []
+        for k in (0, 1):
+            w = _fit(good[k::2], rest[k::2], None)
+            priors.append(class_prior(good[1 - k :: 2] @ w, rest[1 - k :: 2] @ w))
+        return float(np.mean(priors))
+
     def _scaled(self, rows: np.ndarray) -> np.ndarray:
         rows = np.clip((rows - self.centre) / self.spread, -5, 5)
         return np.concatenate([rows, np.ones((len(rows), 1))], axis=1)

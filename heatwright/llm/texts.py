@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from heatwright.session import scratch_path
 
@@ -88,5 +87,9 @@ def only(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def empty_like(spark: SparkSession, schema: StructType | str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
