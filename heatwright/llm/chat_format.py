@@ -83,9 +83,11 @@ def best_paths(messages: DataFrame) -> DataFrame:
     longest = jumps[0].groupBy("conv_id").count().agg(F.max("count").alias("n")).first()["n"] or 0
     while 2 ** (len(jumps) - 1) < longest:
         step = jumps[-1]
+        # Messages that have reached their root are through with joining.
         doubled = (
-            step.alias("n")
-            .join(step.alias("a"), _same("n", "a", "up"), "left")
+            step.filter("up is not null")
+            .alias("n")
+            .join(step.alias("a"), _same("n", "a", "up"))
             .select(
                 "n.conv_id",
                 "n.id",
@@ -94,7 +96,7 @@ def best_paths(messages: DataFrame) -> DataFrame:
                 (F.col("n.depth") + F.coalesce("a.depth", F.lit(0))).alias("depth"),
             )
         )
-        jumps.append(staged(doubled, "replies"))
+        jumps.append(staged(doubled.unionByName(step.filter("up is null")), "replies"))
     full = jumps[-1].filter("up is null")  # what still has an ancestor goes in a circle
     inner = jumps[0].filter("up is not null").select("conv_id", F.col("up").alias("id"))
     leaves = full.alias("n").join(inner.alias("p"), _same("n", "p", "id"), "left_anti")
