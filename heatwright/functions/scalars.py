@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 EVENT_TEXT_FORMAT = "MM-dd-yyyy HH:mm:ss"
 POUNDS_PER_TON = 2000
 BLANKS = " \t\n\r\f\x0b"
+DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def event_text(time: Column) -> Column:
@@ -48,9 +49,13 @@ def free_open_text(flag: Column) -> Column:
 
 
 def lenient_bigint(text: Column) -> Column:
-    """Number in a text, cut to an integer; anything unreadable or missing gives 0."""
-    whole = text.try_cast("bigint")
-    cut = text.try_cast("double").try_cast("bigint")
+    """Number in a text, cut to an integer; anything unreadable or missing gives 0.
+
+    Only plain decimals are read: a cast alone would also take type suffixes and hexadecimal floats.
+    """
+    plain = F.when(text.rlike(DECIMAL), text)
+    whole = plain.try_cast("bigint")
+    cut = plain.try_cast("double").try_cast("bigint")
     return F.coalesce(whole, cut, F.lit(0).cast("bigint"))
 
 
