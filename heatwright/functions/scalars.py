@@ -9,14 +9,21 @@ from pyspark.sql import functions as F
 
 # The text form of milestone times, the unit divisor (pounds per short ton) and the
 # characters that count as blanks around an identifier.
-EVENT_TEXT_FORMAT = "MM-dd-yyyy HH:mm:ss"
+ISO_TEXT = r"^([+-]?\d+)-(\d\d)-(\d\d) (\d\d:\d\d:\d\d).*$"
+EVENT_TEXT = "$2-$3-$1 $4"
 POUNDS_PER_TON = 2000
 BLANKS = " \t\n\r\f\x0b"
 DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def event_text(time: Column) -> Column:
-    return F.date_format(time, EVENT_TEXT_FORMAT)
+    """Month-first text of a time without a zone; ``date_format`` would shift it into the session's zone."""
+    return F.regexp_replace(time.cast("string"), ISO_TEXT, EVENT_TEXT)
+
+
+def sql_text(value: object) -> str:
+    """A value as a quoted SQL literal."""
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def strip(text: Column) -> Column:

@@ -7,29 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows per key the cut before the shuffle leaves little to move.
-SINGLE_STAGE_ROWS = 100
-SALTS = 64
 
-
-def top_n_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, salts: int = SALTS
-) -> DataFrame:
+def top_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each key in the given order.
 
-    Small ``n``: Spark cuts each key before the shuffle (WindowGroupLimit), so a hot key arrives as
-    a few rows per task. Large ``n``: a hot key is first cut in ``salts`` independent parts, then the
-    survivors are cut once more; a row among the first n of its key is among the first n of its part.
+    Spark cuts each key before the shuffle (WindowGroupLimit, for ``n`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, which ``prepare`` raises), so a hot key arrives
+    as at most ``n`` rows per task.
     """
-
-    def cut(rows: DataFrame, partition: Sequence[str]) -> DataFrame:
-        window = Window.partitionBy(*partition).orderBy(*order)
-        return rows.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
-
-    if n <= SINGLE_STAGE_ROWS:
-        return cut(df, keys)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    return cut(cut(salted, [*keys, "_salt"]).drop("_salt"), keys)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -7,14 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heatwright.functions.scalars import sql_text
+
 
 def spread_key(df: DataFrame, key: str, name: str) -> DataFrame:
     """Add ``name``: the text key, or for a null key a filler that matches nothing.
 
     Rows without a key would all hash to one partition of a left join. The filler starts with a
-    blank, which a stripped key never does, and varies with the row.
+    control character, which no key does, and varies with the row.
     """
-    filler = F.concat(F.lit(" "), F.xxhash64(*df.columns).cast("string"))
+    filler = F.concat(F.lit("\x01"), F.xxhash64(*df.columns).cast("string"))
     return df.withColumn(name, F.coalesce(F.col(key), filler))
 
 
@@ -46,7 +48,7 @@ def enrich(
             kind = lookup.schema[source].dataType.simpleString()
             value = (
                 f"CASE WHEN _found THEN {value} "
-                f"WHEN _report.`{present_key or key}` IS NOT NULL THEN CAST('{default}' AS {kind}) END"
+                f"WHEN _report.`{present_key or key}` IS NOT NULL THEN CAST({sql_text(default)} AS {kind}) END"
             )
         added.append(f"{value} AS `{target}`")
     return joined.selectExpr("_report.*", *added)
@@ -56,8 +58,12 @@ def left_join_split(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     """Left outer join written as matched rows plus bare rows.
 
     Adaptive execution can split a hot key of an outer join on its preserved side only; of an inner
-    join on either side. So a key with very many right rows is shared out as well.
+    join on either side. So a key with very many right rows is shared out as well. Rows with a null
+    key match nothing and go past the joins, or they would all meet in one task.
     """
+    keyed = F.lit(True)
+    for key in keys:
+        keyed = keyed & F.col(key).isNotNull()
     matched = left.join(right, list(keys), "inner")
-    bare = left.join(right.select(*keys), list(keys), "left_anti")
+    bare = left.where(keyed).join(right.select(*keys), list(keys), "left_anti").unionByName(left.where(~keyed))
     return matched.unionByName(bare, allowMissingColumns=True)

@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     # HotSpot never compiles a method above 8000 bytes of bytecode. Fused stages of a plan this wide
     # exceed that and would be interpreted; unfused, their projections are split into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Cut each key to its first n rows before the shuffle for large n as well.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 

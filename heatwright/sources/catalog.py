@@ -5,7 +5,7 @@ A catalog may mix back ends (two databases, files, frames), so one plan can join
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +15,7 @@ from pyspark.sql import types as T
 from heatwright.functions.scalars import matches, strip_sql
 from heatwright.sources.schemas import HEAT_ID_COLUMNS, SOURCES
 
-# A heat list this long is a few megabytes: safe to send to every executor.
-BROADCAST_HEATS = 100_000
-
-HeatFilter = DataFrame | str | None
+HeatFilter = DataFrame | str | Collection[str] | None
 
 
 class SchemaMismatch(ValueError):
@@ -58,8 +55,13 @@ def _fits(found: T.DataType, wanted: T.DataType) -> bool:
     return isinstance(found, (T.IntegralType, T.DecimalType))
 
 
-def conform(df: DataFrame, schema: T.StructType, name: str = "source") -> DataFrame:
-    """Lower-case the names, check columns and types, cast, and strip the heat identifiers."""
+def conform(
+    df: DataFrame, schema: T.StructType, name: str = "source", padded: bool = False
+) -> DataFrame:
+    """Lower-case the names, check columns and types, cast, and strip padded heat identifiers.
+
+    A stripped column cannot be filtered at the scan, so only tables that need it are stripped.
+    """
     if any(column != column.lower() for column in df.columns):
         df = df.toDF(*[column.lower() for column in df.columns])
     found = {field.name: field.dataType for field in df.schema.fields}
@@ -76,35 +78,49 @@ def conform(df: DataFrame, schema: T.StructType, name: str = "source") -> DataFr
         column = f"`{field.name}`"
         if found[field.name] != field.dataType:
             column = f"CAST({column} AS {field.dataType.simpleString()})"
-        if field.name in HEAT_ID_COLUMNS:
+        if padded and field.name in HEAT_ID_COLUMNS:
             column = strip_sql(column)
         columns.append(f"{column} AS `{field.name}`")
     return df.selectExpr(*columns)
 
 
 class SourceCatalog:
-    """Logical names to DataFrames; a table is resolved on first use."""
+    """Logical names to DataFrames; a table is resolved on first use.
+
+    ``padded`` names the tables whose heat identifiers may carry blanks around them (fixed-width
+    columns of a database). They are stripped at load. The identifiers of all other tables are taken
+    as they are, so that a heat filter reaches their scan.
+    """
 
     def __init__(
         self,
         loaders: Mapping[str, Callable[[], DataFrame]],
         schemas: Mapping[str, T.StructType] = SOURCES,
+        padded: Collection[str] = (),
     ):
+        self._padded = frozenset(padded)
         self._loaders = dict(loaders)
         self._schemas = schemas
         self._frames: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_frames(cls, frames: Mapping[str, DataFrame]) -> SourceCatalog:
-        return cls({name: (lambda df=df: df) for name, df in frames.items()})
+    def from_frames(
+        cls, frames: Mapping[str, DataFrame], padded: Collection[str] = ()
+    ) -> SourceCatalog:
+        return cls({name: (lambda df=df: df) for name, df in frames.items()}, padded=padded)
 
     @classmethod
     def from_parquet(
-        cls, spark: SparkSession, root: str, tables: Iterable[str] = tuple(SOURCES)
+        cls,
+        spark: SparkSession,
+        root: str,
+        tables: Iterable[str] = tuple(SOURCES),
+        padded: Collection[str] = (),
     ) -> SourceCatalog:
         """One folder (or file) ``<root>/<table>.parquet`` per table."""
         return cls(
-            {name: (lambda name=name: spark.read.parquet(f"{root}/{name}.parquet")) for name in tables}
+            {name: (lambda name=name: spark.read.parquet(f"{root}/{name}.parquet")) for name in tables},
+            padded=padded,
         )
 
     @classmethod
@@ -114,17 +130,22 @@ class SourceCatalog:
         url: str,
         tables: Mapping[str, JdbcTable],
         properties: Mapping[str, str] | None = None,
+        padded: Collection[str] = (),
     ) -> SourceCatalog:
         """Tables of one database, each scan split on its own column."""
 
         def load(table: JdbcTable) -> DataFrame:
             return spark.read.format("jdbc").options(**table.options(url, properties or {})).load()
 
-        return cls({name: (lambda table=table: load(table)) for name, table in tables.items()})
+        loaders = {name: (lambda table=table: load(table)) for name, table in tables.items()}
+        return cls(loaders, padded=padded)
 
     def merged(self, other: SourceCatalog) -> SourceCatalog:
         """Both catalogs in one; names of ``other`` win."""
-        return SourceCatalog({**self._loaders, **other._loaders}, {**self._schemas, **other._schemas})
+        padded = (self._padded - set(other._loaders)) | other._padded
+        return SourceCatalog(
+            {**self._loaders, **other._loaders}, {**self._schemas, **other._schemas}, padded
+        )
 
     def __contains__(self, name: str) -> bool:
         return name in self._loaders
@@ -135,7 +156,7 @@ class SourceCatalog:
                 raise KeyError(f"no source registered for table {name!r}")
             df = self._loaders[name]()
             schema = self._schemas.get(name)
-            self._frames[name] = df if schema is None else conform(df, schema, name)
+            self._frames[name] = df if schema is None else conform(df, schema, name, name in self._padded)
         return self._frames[name]
 
 
@@ -145,20 +166,25 @@ def inline_rows(spark: SparkSession, schema: T.StructType, rows: Sequence[tuple]
 
 
 def heat_list(spark: SparkSession, heats: Iterable[object]) -> DataFrame:
-    """The requested heats as a relation with one column ``heat_id``."""
-    ids = sorted({str(heat).strip() for heat in heats})
+    """The requested heats as a relation with one column ``heat_id``; Spark knows its size."""
     schema = T.StructType([T.StructField("heat_id", T.StringType())])
-    df = inline_rows(spark, schema, [(heat,) for heat in ids])
-    return F.broadcast(df) if len(ids) <= BROADCAST_HEATS else df
+    return inline_rows(spark, schema, [(heat,) for heat in heat_ids(heats)])
+
+
+def heat_ids(heats: Iterable[object]) -> list[str]:
+    return sorted({str(heat).strip() for heat in heats})
 
 
 def only_heats(df: DataFrame, heats: HeatFilter, column: str) -> DataFrame:
-    """Keep the rows of the requested heats: all, a LIKE pattern, or a relation with ``heat_id``.
+    """Keep the rows of the requested heats: all, a LIKE pattern, a list, or a relation with ``heat_id``.
 
-    A relation is semi-joined; Spark sends it to the executors when it is known to be small.
+    A pattern or a list becomes a filter that reaches the scan. A relation is semi-joined; Spark sends
+    it to the executors when it is known to be small.
     """
     if heats is None:
         return df
     if isinstance(heats, str):
         return df.where(matches(F.col(column), heats))
+    if not isinstance(heats, DataFrame):
+        return df.where(F.col(column).isin(heat_ids(heats)))
     return df.join(heats.select(F.col("heat_id").alias(column)), column, "left_semi")

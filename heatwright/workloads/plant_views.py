@@ -258,7 +258,7 @@ def l2_l3_heat_report_ccm(t: Tables) -> DataFrame:
 
 
 def l2_l3_heat_report_lms(t: Tables) -> DataFrame:
-    amounts = "total_treatment_time total_energy total_power_on total_alloys".split()
+    amounts = ["total_treatment_time", "total_energy", "total_power_on", "total_alloys"]
     return t("orders").select(
         F.col("o_orderkey").alias("report_no"),
         (F.col("o_custkey") + 1100000000).cast("string").alias("heat_id"),
@@ -272,19 +272,24 @@ def l2_l3_heat_report_lms(t: Tables) -> DataFrame:
 
 def rpt_ref(t: Tables) -> DataFrame:
     stand_ins = {
-        "l_orderkey": "report_no",
-        "l_returnflag": "plant_id",
-        "l_linenumber": "stand_no",
-        "l_shipdate": "ladle_arrival ladle_departure leak_rate_filter_date "
-        "leak_rate_filter_and_tank_date",
-        "l_quantity": "initial_metal_weight initial_slag_weight final_metal_weight "
-        "final_slag_weight degassing_time req_degassing_time",
-        "l_extendedprice": "actual_target_temp_min actual_target_temp_aim actual_target_temp_max "
-        "est_temp_at_stop deep_vacuum_time pump_down_time leak_rate_filter "
-        "leak_rate_filter_and_tank",
-    }
+        "l_orderkey": ["report_no"],
+        "l_returnflag": ["plant_id"],
+        "l_linenumber": ["stand_no"],
+        "l_shipdate": [
+            "ladle_arrival", "ladle_departure", "leak_rate_filter_date", "leak_rate_filter_and_tank_date",
+        ],
+        "l_quantity": [
+            "initial_metal_weight", "initial_slag_weight", "final_metal_weight", "final_slag_weight",
+            "degassing_time", "req_degassing_time",
+        ],
+        "l_extendedprice": [
+            "actual_target_temp_min", "actual_target_temp_aim", "actual_target_temp_max",
+            "est_temp_at_stop", "deep_vacuum_time", "pump_down_time", "leak_rate_filter",
+            "leak_rate_filter_and_tank",
+        ],
+    }
     return t("lineitem").select(
-        *[F.col(source).alias(name) for source, names in stand_ins.items() for name in names.split()]
+        *[F.col(source).alias(name) for source, names in stand_ins.items() for name in names]
     )
 
 

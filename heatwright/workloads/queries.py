@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heatwright.functions.scalars import (
     event_text,
     free_open_text,
     lenient_bigint,
+    matches,
     seconds_between,
     zero_to_null,
 )
@@ -20,7 +22,7 @@ from heatwright.operators.lookups import enrich
 from heatwright.operators.pivots import pivot_vocabulary, unlisted
 from heatwright.operators.quality import repeated_keys, split_valid
 from heatwright.plans.additions import additions_by_heat, additions_detail
-from heatwright.plans.chemistry import chemistry, latest_chemistry
+from heatwright.plans.chemistry import chemistry, element_values, latest_chemistry
 from heatwright.plans.heat_report import heat_report
 from heatwright.plans.heat_sheet import energy_per_heat, heat_sheet, primary_recipes
 from heatwright.plans.measurements import OXYGEN, TEMPERATURE, latest_measurement
@@ -29,7 +31,7 @@ from heatwright.plans.reference_report import last_heats, ref_report
 from heatwright.plans.run import run_report
 from heatwright.session import prepare, scratch_path
 from heatwright.sinks.report_table import ReportTable, read_csv, write_csv
-from heatwright.sources.catalog import SourceCatalog
+from heatwright.sources.catalog import SourceCatalog, inline_rows, only_heats
 from heatwright.sources.schemas import ADDITIONS, ELEMENTS, REPORT
 from heatwright.workloads.plant_views import customer_plant, order_plant, table
 
@@ -65,6 +67,11 @@ def event_milestones(spark, sf_dir):
     return _lower(stir_ladle_times(order_plant(spark, sf_dir)))
 
 
+@query
+def event_milestones_newest(spark, sf_dir):
+    return _lower(stir_ladle_times(order_plant(spark, sf_dir), newest_first=True))
+
+
 @query
 def event_milestones_corrected(spark, sf_dir):
     return _lower(stir_ladle_times(order_plant(spark, sf_dir), times="corrected"))
@@ -102,12 +109,18 @@ def chemistry_rows(spark, sf_dir):
 
 @query
 def chemistry_all(spark, sf_dir):
-    return chemistry(order_plant(spark, sf_dir), scope="all")
+    """The newest rows of the whole plant."""
+    return chemistry(order_plant(spark, sf_dir), scope="all", limit=5000)
+
+
+@query
+def chemistry_unlimited(spark, sf_dir):
+    return chemistry(order_plant(spark, sf_dir))
 
 
 @query
 def newest_lines_per_supplier(spark, sf_dir):
-    """A cap large enough to be taken in two stages."""
+    """A large cap per key."""
     lines = table(spark, sf_dir, "lineitem").select("l_suppkey", *[c for c in LINE_ORDER if c != "l_suppkey"])
     order = [F.col("l_shipdate").desc()] + [F.col(c).desc() for c in LINE_ORDER if c != "l_shipdate"]
     return top_n_per_key(lines, ["l_suppkey"], order, 150)
@@ -115,7 +128,7 @@ def newest_lines_per_supplier(spark, sf_dir):
 
 @query
 def latest_element(spark, sf_dir):
-    return latest_chemistry(chemistry(order_plant(spark, sf_dir)))
+    return latest_chemistry(element_values(order_plant(spark, sf_dir)))
 
 
 @query
@@ -132,7 +145,7 @@ def latest_value(spark, sf_dir):
 
 @query
 def element_pivot(spark, sf_dir):
-    latest = latest_chemistry(chemistry(order_plant(spark, sf_dir)))
+    latest = latest_chemistry(element_values(order_plant(spark, sf_dir)))
     wide = pivot_vocabulary(
         latest, "heat_id", "elem_name", {"elem_value": "TOTAL_"}, ELEMENTS, ["elem_type"]
     )
@@ -152,6 +165,11 @@ def additions_by_heat_corrected(spark, sf_dir):
     return additions_by_heat(customer_plant(spark, sf_dir), fanout="corrected")
 
 
+@query
+def additions_by_heat_first(spark, sf_dir):
+    return additions_by_heat(customer_plant(spark, sf_dir), limit=1000)
+
+
 @query
 def addition_pivot(spark, sf_dir):
     wide = pivot_vocabulary(
@@ -173,11 +191,16 @@ def unlisted_materials(spark, sf_dir):
 
 @query
 def unlisted_elements(spark, sf_dir):
-    return unlisted(latest_chemistry(chemistry(order_plant(spark, sf_dir))), "elem_name", ELEMENTS)
+    return unlisted(latest_chemistry(element_values(order_plant(spark, sf_dir))), "elem_name", ELEMENTS)
 
 
 @query
 def additions_detail_list(spark, sf_dir):
+    return additions_detail(order_plant(spark, sf_dir), limit=3000)
+
+
+@query
+def additions_detail_unlimited(spark, sf_dir):
     return additions_detail(order_plant(spark, sf_dir))
 
 
@@ -221,6 +244,18 @@ def heat_sheet_selected(spark, sf_dir):
     return _lower(heat_sheet(src, heats=src["l2_l3_heat_report_ccm"].select("heat_id")))
 
 
+@query
+def heat_sheet_padded(spark, sf_dir):
+    """Sources with upper-case names and blanks around the heat ids."""
+    src = order_plant(spark, sf_dir)
+    heats = ["melt_heat", "melt_heat_result", "melt_heat_consumption"]
+    padded = {}
+    for name in heats:
+        frame = src[name].withColumn("mlh_heat_no", F.concat(F.lit(" "), "mlh_heat_no", F.lit("\t ")))
+        padded[name] = frame.toDF(*[column.upper() for column in frame.columns])
+    return _lower(heat_sheet(src.merged(SourceCatalog.from_frames(padded, padded=heats))))
+
+
 @query
 def repeated_heats(spark, sf_dir):
     """Lab samples that carry more than one row for a heat."""
@@ -232,17 +267,33 @@ def repeated_heats(spark, sf_dir):
 
 @query
 def ref_report_newest(spark, sf_dir):
-    return ref_report(order_plant(spark, sf_dir))
+    return ref_report(order_plant(spark, sf_dir), limit=50)
+
+
+REF_SINCE = {"since": "1995-06-17 00:00:00", "min_heat": 1100000500}
 
 
 @query
 def ref_report_since(spark, sf_dir):
-    return ref_report(order_plant(spark, sf_dir), since="1999-06-22 13:18:28.760", min_heat=1100000100)
+    return ref_report(order_plant(spark, sf_dir), **REF_SINCE, limit=50)
+
+
+@query
+def ref_report_since_unlimited(spark, sf_dir):
+    return ref_report(order_plant(spark, sf_dir), **REF_SINCE)
+
+
+@query
+def ref_report_heats(spark, sf_dir):
+    """Reports of the heats that a relation names."""
+    customers = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    heats = customers.select((F.col("c_custkey") + 1100000000).cast("string").alias("heat_id"))
+    return ref_report(order_plant(spark, sf_dir), heats)
 
 
 @query
 def ref_report_unlimited(spark, sf_dir):
-    return ref_report(order_plant(spark, sf_dir), limit=None)
+    return ref_report(order_plant(spark, sf_dir))
 
 
 @query
@@ -285,6 +336,8 @@ def safe_number(spark, sf_dir):
         lenient_bigint(F.concat(F.lit(" "), F.col("p_retailprice").cast("string"), F.lit(" "))).alias(
             "price_no"
         ),
+        lenient_bigint(F.concat(F.col("p_partkey").cast("string"), F.lit("D"))).alias("suffixed_no"),
+        lenient_bigint(F.concat(F.lit("0x"), F.col("p_partkey").cast("string"), F.lit("p1"))).alias("hex_no"),
     )
 
 
@@ -319,29 +372,31 @@ def event_seconds(spark, sf_dir):
 
 @query
 def like_filters(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    events = table(spark, sf_dir, "events")
-    named = part.where(
-        F.col("p_name").like("%ring%") & F.col("p_type").like("S%") & F.col("p_brand").isNotNull()
-    ).select(F.lit("part").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_type").alias("label"))
-    typed = events.where(
-        F.col("event_type").isin("click", "view", "signup")
-        & F.col("event_type").like("view")
-        & (F.col("ts") > F.lit("2024-01-10 13:18:28.760").cast("timestamp_ntz"))
-        & (F.col("value") > 1.5)
-    ).select(F.lit("event").alias("kind"), F.col("event_id").alias("id"), F.col("event_type").alias("label"))
-    return named.unionByName(typed)
+    """Contains, prefix and list filters as the reports select by them."""
+    part = table(spark, sf_dir, "part").where(F.col("p_brand").isNotNull())
+    named = only_heats(only_heats(part, "%ring%", "p_name"), "S%", "p_type")
+    events = table(spark, sf_dir, "events").where(
+        (F.col("ts") > F.lit("2024-01-10 06:00:00").cast("timestamp_ntz")) & (F.col("value") > 1.5)
+    )
+    typed = only_heats(events, ["click", "view", "signup"], "event_type")
+    typed = typed.where(matches(F.col("event_type"), "VIEW", case_sensitive=False))
+    return named.select(
+        F.lit("part").alias("kind"), F.col("p_partkey").cast("string").alias("id"), F.col("p_type").alias("label")
+    ).unionByName(
+        typed.select(
+            F.lit("event").alias("kind"), F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("label")
+        )
+    )
 
 
 @query
 def union_by_name(spark, sf_dir):
+    """Suppliers in place of the customers with their keys; columns in another order, one missing."""
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
     )
-    supplier = table(spark, sf_dir, "supplier").select(
-        F.col("s_name").alias("name"), F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("balance")
-    )
-    return customer.unionByName(supplier, allowMissingColumns=True)
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("key"))
+    return replace_by_key(customer, supplier.select("key"), supplier, "key", minimum=None)
 
 
 # Keyed changes and sinks ------------------------------------------------------------------------
@@ -391,6 +446,25 @@ def upsert_merge(spark, sf_dir):
     )
 
 
+@query
+def upsert_inline(spark, sf_dir):
+    """Literal rows as the update, stamped with their load time."""
+    events = table(spark, sf_dir, "events").select(*TARGET_COLUMNS)
+    target = newest_per_key(events, ["user_id", "event_type"], _upsert_order())
+    schema = T.StructType([target.schema[name] for name in TARGET_COLUMNS[:4]])
+    updates = inline_rows(
+        spark, schema, [(1, "click", -1, 0.5), (2, "view", -2, 1.5), (-7, "click", -3, 2.5)]
+    )
+    return merge_upsert(
+        target,
+        updates,
+        ["user_id", "event_type"],
+        ["event_id", "value"],
+        [F.col("event_id").desc()],
+        {"ts": F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")},
+    )
+
+
 @query
 def upsert_table(spark, sf_dir):
     """The same upsert through the stored table."""
@@ -405,7 +479,7 @@ def upsert_table(spark, sf_dir):
 
 def _stored_orders(spark, sf_dir) -> ReportTable:
     orders = table(spark, sf_dir, "orders")
-    stored = ReportTable(spark, scratch_path(spark, "orders"), orders.schema, ["o_orderkey"], buckets=8)
+    stored = ReportTable(spark, scratch_path(spark, "orders"), orders.schema, ["o_orderkey"], width=100_000)
     stored.append(orders)
     return stored
 
@@ -479,11 +553,31 @@ def heat_report_corrected(spark, sf_dir):
     return _lower(heat_report(order_plant(spark, sf_dir), **modes))
 
 
+@query
+def heat_report_selected(spark, sf_dir):
+    """The wide report of the heats that a relation names."""
+    heats = _urgent(table(spark, sf_dir, "orders")).select(F.col("o_orderkey").cast("string").alias("heat_id"))
+    return _lower(heat_report(order_plant(spark, sf_dir), heats))
+
+
+def _report_target(spark: SparkSession) -> ReportTable:
+    return ReportTable(spark, scratch_path(spark, "report"), REPORT, ["HEAT_ID_NUM"], width=100_000)
+
+
 @query
 def report_run(spark, sf_dir):
-    """The newest 400 heat rows reported twice, the second time in place of the first."""
+    """The newest 400 heat rows reported twice, the second time in place of the first.
+
+    Heats with a number too small to delete are refused the second time, so they stay as they were.
+    """
     src: SourceCatalog = order_plant(spark, sf_dir)
-    target = ReportTable(spark, scratch_path(spark, "report"), REPORT, ["HEAT_ID_NUM"], buckets=8)
+    target = _report_target(spark)
     run_report(spark, src, target, last_n=400)
     run_report(spark, src, target, last_n=400, replace=True)
     return _lower(target.read())
+
+
+@query
+def report_run_unlisted(spark, sf_dir):
+    """Names of the reported heats that the report has no column for."""
+    return run_report(spark, order_plant(spark, sf_dir), _report_target(spark), last_n=400).unlisted
