@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from heatwright.functions.scalars import (
+    event_text,
     free_open_text,
     lenient_bigint,
     seconds_between,
@@ -15,19 +16,28 @@ from heatwright.functions.scalars import (
     wide_name,
     zero_to_null,
 )
-from heatwright.operators.keyed import delete_by_key, merge_upsert, replace_by_key
-from heatwright.operators.latest import latest_non_null, newest_per_key, top_n_per_key
+from heatwright.operators.keyed import delete_by_key, merge_upsert, refused_rows, replace_by_key
+from heatwright.operators.latest import latest_non_null, top_n_per_key
 from heatwright.operators.lookups import enrich, left_join_split, spread_key
+from heatwright.operators.pivots import pivot_vocabulary
 from heatwright.operators.quality import split_valid
-from heatwright.sources.catalog import JdbcTable, SchemaMismatch, SourceCatalog, conform, heat_list
+from heatwright.sources.catalog import (
+    JdbcTable,
+    SchemaMismatch,
+    SourceCatalog,
+    conform,
+    heat_list,
+    only_heats,
+)
 from heatwright.sources.schemas import SOURCES
 
 
 def test_lenient_bigint(spark):
-    texts = [" 1100064818 ", "abc", None, "", "1.9", "-1.9", "inf", "nan", "1e3", "9007199254740993"]
+    texts = [" 1100064818 ", "abc", None, "", "1.9", "-1.9", "inf", "nan", "1e3", "9007199254740993",
+             "1100064818D", "1100064818f", "7L", "0x1p3", "+5", ".5", "5."]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [row[0] for row in df.select(lenient_bigint(F.col("t"))).collect()]
-    assert got == [1100064818, 0, 0, 0, 1, -1, 0, 0, 1000, 9007199254740993]
+    assert got == [1100064818, 0, 0, 0, 1, -1, 0, 0, 1000, 9007199254740993, 0, 0, 0, 0, 5, 0, 5]
 
 
 def test_small_functions(spark):
@@ -67,7 +77,7 @@ few = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthC
 
 @few
 @given(data=records, n=st.integers(1, 6))
-def test_top_n_in_two_stages_equals_sorting(spark, data, n):
+def test_top_n_equals_sorting(spark, data, n):
     df = spark.createDataFrame(data, "k int, a int, b int").repartition(3)
     order = [F.col("a").desc(), F.col("b").desc()]
     low = -1
@@ -77,15 +87,6 @@ def test_top_n_in_two_stages_equals_sorting(spark, data, n):
         expected += group[::-1][:n]
     expected.sort(key=str)
     assert sorted((tuple(r) for r in top_n_per_key(df, ["k"], order, n).collect()), key=str) == expected
-    import heatwright.operators.latest as latest
-
-    before = latest.SINGLE_STAGE_ROWS
-    latest.SINGLE_STAGE_ROWS = 0
-    try:
-        two_stage = top_n_per_key(df, ["k"], order, n, salts=4).collect()
-    finally:
-        latest.SINGLE_STAGE_ROWS = before
-    assert sorted((tuple(r) for r in two_stage), key=str) == expected
 
 
 @few
@@ -104,9 +105,10 @@ def test_latest_non_null_drops_null_keys(spark):
     assert rows(latest_non_null(df, ["k"], ["b"], ["i"])) == [(1, None)]
 
 
-def test_newest_cut_happens_before_the_shuffle(spark):
-    df = spark.range(100).withColumn("k", F.col("id") % 3)
-    newest = newest_per_key(df, ["k"], [F.col("id").desc()])
+@pytest.mark.parametrize("n", [1, 5000])
+def test_newest_cut_happens_before_the_shuffle(spark, n):
+    df = spark.range(100_000).withColumn("k", F.col("id") % 3)
+    newest = top_n_per_key(df, ["k"], [F.col("id").desc()], n)
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
@@ -126,7 +128,7 @@ def test_spread_key_keeps_keys_and_never_meets_one(spark):
     report = spark.createDataFrame([(None, i) for i in range(50)] + [("7", 0)], "heat string, i int")
     keys = [row["k"] for row in spread_key(report, "heat", "k").collect()]
     assert len(set(keys)) == 51 and "7" in keys
-    assert all(key == "7" or key.startswith(" ") for key in keys)
+    assert all(key == "7" or key.startswith("\x01") for key in keys)
 
 
 @few
@@ -147,6 +149,61 @@ def test_delete_refuses_small_keys_and_keeps_null_keys(spark):
     assert rows(delete_by_key(target, keys, "k", minimum=None), "v") == [("c",), ("d",)]
 
 
+def test_replace_is_the_same_each_time_for_every_key(spark):
+    table = spark.createDataFrame([(1001, "old")], "k long, v string")
+    new = spark.createDataFrame([(k, "new") for k in range(995, 1005)] + [(0, "no heat"), (None, "x")], "k long, v string")
+    keys = new.select("k").where("k <> 1004")
+    for _ in range(3):
+        table = replace_by_key(table, keys, new, "k")
+        assert rows(table) == [(k, "new") for k in range(1000, 1004)]
+    refused = refused_rows(new, keys, "k")
+    assert rows(refused, "k") == [(None,), (0,), (1004,), (995,), (996,), (997,), (998,), (999,)]
+
+
+def test_upsert_stamps_changed_rows_only(spark):
+    target = spark.createDataFrame([("a", 1, "old"), ("b", 2, "old"), (None, 3, "old")], "k string, v int, loaded string")
+    updates = spark.createDataFrame([("a", 10), ("c", 30), (None, 40)], "k string, v int")
+    got = merge_upsert(target, updates, ["k"], ["v"], [F.col("v").desc()], {"loaded": F.lit("now")})
+    assert rows(got) == [(None, 3, "old"), (None, 40, "now"), ("a", 10, "now"), ("b", 2, "old"), ("c", 30, "now")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FullOuter") == 1 and plan.count("Window ") <= 1
+
+
+def test_event_text_does_not_shift_into_the_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 0, 5),), (None,)], "t timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        got = [row[0] for row in df.select(event_text(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["03-10-2024 02:30:00", None]
+
+
+def test_quotes_in_names_and_defaults(spark):
+    long = spark.createDataFrame([(1, "O'Neil \\", 2.0)], "k int, name string, v double")
+    wide = pivot_vocabulary(long, "k", "name", {"v": "V_"}, ["O'Neil \\", "x"], ["v"])
+    assert rows(wide) == [(1, 2.0, 0.0)]
+    report = spark.createDataFrame([(2,)], "k int")
+    assert rows(enrich(report, long, "k", {"name": "n"}, {"n": "it's"})) == [(2, "it's")]
+
+
+def test_heat_filter_reaches_the_scan(spark, plant, tmp_path):
+    plant["melt_heat"].write.parquet(f"{tmp_path}/melt_heat.parquet")
+    heats = SourceCatalog.from_parquet(spark, str(tmp_path), ["melt_heat"])["melt_heat"]
+
+    def pushed(filtered):
+        plan = filtered._jdf.queryExecution().executedPlan().toString()
+        return next(line for line in plan.splitlines() if "PushedFilters" in line).split("PushedFilters: ")[1]
+
+    assert "EqualTo(mlh_heat_no,1100000001)" in pushed(only_heats(heats, ["1100000001"], "mlh_heat_no"))
+    assert "In(mlh_heat_no" in pushed(only_heats(heats, [1100000001, "1100000003 "], "mlh_heat_no"))
+    assert "StringStartsWith(mlh_heat_no,1100" in pushed(only_heats(heats, "1100%", "mlh_heat_no"))
+    assert rows(only_heats(heats, [1100000001, "1100000003 "], "mlh_heat_no"), "mlh_heat_no") == [
+        ("1100000001",), ("1100000003",),
+    ]
+
+
 def test_replace_fills_missing_columns(spark):
     target = spark.createDataFrame([(1001, "a", 1), (1002, "b", 2)], "k long, v string, w int")
     new = spark.createDataFrame([("z", 1001)], "v string, k long")

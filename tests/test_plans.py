@@ -177,6 +177,49 @@ def test_chemistry_cap(plant, scope):
     assert got == [(30, 2), (30, 3), (70, None)]
 
 
+def test_no_row_cap_by_default(spark, plant):
+    """More lab rows in a heat than the old cap: the oldest element still counts."""
+    many = SourceCatalog.from_frames(
+        {
+            "l2_l3_chem_result_element": plant["l2_l3_chem_result_element"].unionByName(
+                spark.range(6000).selectExpr(
+                    "80L AS msg_counter", "CAST(id + 100 AS INT) AS elem_type", "'Zr' AS elem_name", "1D AS elem_value"
+                )
+            )
+        }
+    )
+    src = plant.merged(many)
+    assert chemistry(src).where("heat_id = '1100000001'").count() == 6002
+    assert rows(heat_report(src, ["1100000001"]), "TOTAL_C", "TOTAL_Zr") == [(0.07, 1.0)]
+
+
+def test_chemistry_cap_keeps_results_without_a_number(spark, plant):
+    none = plant["l2_l3_chem_result"].where("msg_counter = 20").withColumn("msg_counter", F.lit(None).cast("long"))
+    src = plant.merged(
+        SourceCatalog.from_frames({"l2_l3_chem_result": plant["l2_l3_chem_result"].unionByName(none)})
+    )
+    whole = chemistry(src).count()
+    for limit in (3, whole, whole + 5):
+        assert chemistry(src, scope="all", limit=limit).count() == min(limit, whole)
+
+
+def test_heats_without_a_result_do_not_share_a_task(spark, plant):
+    lonely = spark.range(300).selectExpr(
+        "concat('9', id) AS mlh_heat_no", "timestamp_ntz'2024-06-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) AS mlh_tap_date",
+        "'G' AS blg_grade_id", "id AS eqg_serial_no", "'W1' AS wor_order_no",
+    )
+    src = plant.merged(SourceCatalog.from_frames({"melt_heat": plant["melt_heat"].unionByName(lonely)}))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sheet = heat_sheet(src)
+        shares = sheet.where("HEAT_ID IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(row["count"] for row in shares) >= 300 and len(shares) > 2
+
+
 def test_latest_chemistry_skips_nulls_per_column(plant):
     latest = latest_chemistry(chemistry(plant, "A"))
     assert rows(latest, "elem_type", "elem_name", "elem_value", "elem_count") == [
@@ -296,6 +339,13 @@ def test_ref_report_null_number_comes_last(plant):
     assert got.collect()[-1]["heat_id"] == "1100000099"
 
 
+def test_ref_report_of_given_heats(spark, plant):
+    wanted = [1100000006, "1100000007"]
+    expected = [("1100000006",), ("1100000006",), ("1100000007",)]
+    assert rows(ref_report(plant, wanted), "heat_id") == expected
+    assert rows(ref_report(plant, heat_list(spark, wanted)), "heat_id") == expected
+
+
 def test_ref_report_since(plant):
     assert rows(ref_report(plant, since="2024-06-01 10:04:59.999"), "heat_id") == [
         ("1100000001",), ("1100000002",), ("1100000003",), ("1100000006",), ("1100000006",),
