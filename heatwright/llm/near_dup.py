@@ -7,8 +7,10 @@ the first values of an order stand next to each other in it. A region is such a
 Where a region has more members than one task should compare, the prefix is lengthened until it splits, so
 depth follows the density of the data. Inside a region every pair is compared by sketch, and only pairs of
 documents not yet in one component are handed on: first each document's nearest ones, then, once the links
-found so far have merged most of a dense region, all that is left. Components come from alternating star
-contractions, all in Spark.
+found so far have merged most of a dense region, all that is left. A longer prefix may part documents that
+belong together, so the members of lengthened regions are joined once more, by an exact prefix filter over
+their rarest shingles, between components only. Components come from alternating star contractions, all in
+Spark.
 
 Defined results: null or empty texts (and texts without a word) have an empty set, are linked with nothing
 and keep their own id as component. A row without ``doc_id`` takes no part in linking: component null, kept.
@@ -29,8 +31,9 @@ from pyspark.sql import functions as F
 from heatwright.llm.texts import arrow_rows, as_bytes, mixed, on_batches, only, pieces, staged, unused
 
 SHINGLE = 5
-# Links need 100 * intersection >= THRESHOLD * union.
+# Links need 100 * intersection >= threshold * union: of the contract's query, and of the pipeline's stage.
 THRESHOLD = 85
+STAGE_THRESHOLD = 80
 
 # Values of the signature. Each tree reads them from its own starting point on, round the circle.
 VALUES = 64
@@ -40,8 +43,10 @@ SKETCH = 512
 # Prefix lengths (values) tried from the shallowest on, and the members up to which a region is compared.
 DEPTHS = (2, 4, 6, 8, 12, 16, 32, 64)
 REGION = 2048
-# Sketch agreement below which a pair is not verified: four standard errors below the threshold.
-SKETCH_LEAST = 0.785
+# Standard errors below the threshold at which a pair's sketch agreement is not worth verifying.
+SKETCH_ERRORS = 4.1
+# Counters of the shingles in lengthened regions (a power of two): they rank shingles, rarest first.
+COUNTER_BITS = 20
 # Buckets of 32,768 bits in the filter of the documents that need their shingle sets.
 FILTER_BUCKETS = 512
 # Partners a document names per region in each round; None names all that are left.
@@ -128,34 +133,46 @@ def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 # ---------------------------------------------------------------- forest
 
 
-def forest_regions(reps: DataFrame) -> DataFrame:
-    """``region`` (hash of tree and prefix), ``tree`` and ``node`` of every run with two or more members.
+def sketch_least(threshold: int) -> float:
+    share = threshold / 100
+    return share - SKETCH_ERRORS * (share * (1 - share) / SKETCH) ** 0.5
+
+
+def forest_regions(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``region`` (hash of tree and prefix), ``tree`` and ``node`` of every run with two or more members, and
+    the ``node``s of runs that were too long at the first depth (None without any).
 
     Each tree's rows are counted per prefix; runs above REGION go on to the next depth. A run that still
-    is too long at the last depth (thousands of different sets agreeing on all values) keeps that depth:
-    its members are then compared in sorted order within a sliding window, see ``_region_pairs``.
+    is too long at the last depth (thousands of different sets agreeing on all values) is dealt into salted
+    parts, differently in each tree, so that the trees together join the parts.
     """
     # The circle of values, doubled, so that each tree's order is one slice.
     ring = F.concat("tree_values", "tree_values")
     step = 4 * VALUES // TREES
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     rest = reps.select("node", "tree_values", trees)
-    done = []
+    done, dense = [], None
     for depth in DEPTHS:
         prefix = F.substring(ring, F.col("tree") * step + 1, F.lit(4 * depth))
         rest = rest.select("node", "tree", F.xxhash64("tree", F.lit(depth), prefix).alias("region"))
         sizes = rest.groupBy("region").agg(F.count("*").alias("members")).filter("members > 1")
         rest = staged(rest.join(sizes, "region"), "forest")
         last = depth == DEPTHS[-1]
-        done.append(rest.filter(F.lit(last) | (F.col("members") <= REGION)).select("region", "tree", "node"))
-        rest = rest.filter(F.col("members") > REGION).select("node", "tree")
+        done.append(rest.filter(F.col("members") <= REGION).select("region", "tree", "node"))
+        rest = rest.filter(F.col("members") > REGION)
+        if last:
+            part = F.pmod(F.xxhash64("node", "tree"), F.ceil(2 * F.col("members") / REGION))
+            done.append(rest.select(F.xxhash64("region", part).alias("region"), "tree", "node"))
+        rest = rest.select("node", "tree")
         if last or rest.isEmpty():
             break
+        if dense is None:
+            dense = rest.select("node").distinct()
         rest = rest.join(reps.select("node", "tree_values"), "node")
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return staged(out, "regions")
+    return staged(out, "regions"), dense
 
 
 def _agreement(block: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -166,7 +183,7 @@ def _agreement(block: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (out / SKETCH - 1 / 256) / (1 - 1 / 256)
 
 
-def _region_pairs(nodes, comps, sketches, earlier, tried, most) -> Iterator[tuple[int, int]]:
+def _region_pairs(nodes, comps, sketches, earlier, tried, most, least) -> Iterator[tuple[int, int]]:
     """Pairs of one region worth verifying: different components, not tried, sketches alike.
 
     ``earlier`` has the members' regions in the trees before this one: a pair is named in the first tree
@@ -177,11 +194,7 @@ def _region_pairs(nodes, comps, sketches, earlier, tried, most) -> Iterator[tupl
         return
     place = {int(node): k for k, node in enumerate(nodes)}
     for k in range(n):
-        start = max(0, k - REGION)
-        if most is None:
-            around = slice(start, k)
-        else:
-            around = slice(start, min(n, k + REGION))
+        around = slice(0, k if most is None else n)
         other = comps[around] != comps[k]
         other &= ~((earlier[around] == earlier[k]) & (earlier[k] != 0)).any(axis=1)
         if not other.any():
@@ -189,18 +202,18 @@ def _region_pairs(nodes, comps, sketches, earlier, tried, most) -> Iterator[tupl
         alike = _agreement(sketches[k : k + 1], sketches[around])[0]
         alike[~other] = 0
         for old in tried[k] or ():
-            at = place.get(old, -1) - start
+            at = place.get(old, -1)
             if 0 <= at < len(alike):
                 alike[at] = 0
-        found = np.flatnonzero(alike >= SKETCH_LEAST)
+        found = np.flatnonzero(alike >= least)
         if most is not None and len(found) > most:
             found = found[np.lexsort((nodes[around][found], -alike[found]))[:most]]
-        for j in found + start:
+        for j in found:
             a, b = int(nodes[k]), int(nodes[j])
             yield (a, b) if a < b else (b, a)
 
 
-def _pair_batches(most: int | None):
+def _pair_batches(most: int | None, least: float):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,6 +251,7 @@ def _pair_batches(most: int | None):
                     homes[:, :tree],
                     group.column("tried").to_pylist(),
                     most,
+                    least,
                 )
             )
             if len(out) > 50_000:
@@ -249,16 +263,112 @@ def _pair_batches(most: int | None):
     return run
 
 
-def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify_batches(threshold: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = np.sort(np.concatenate([x, y]))
+                shared = int(np.count_nonzero(both[1:] == both[:-1]))
+                linked.append(100 * shared >= threshold * (len(x) + len(y) - shared))
+            yield arrow_rows(schema, [batch.column("a"), batch.column("b"), linked])
+
+    return run
+
+
+def verified_pairs(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """``a``, ``b`` and whether the two are ``linked``, by their whole sets."""
+    with_sets = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b"
+    )
+    return staged(
+        on_batches(
+            with_sets.select("a", "b", "set_a", "set_b"), _verify_batches(threshold), "a bigint, b bigint, linked boolean"
+        ),
+        "verified",
+    )
+
+
+# ---------------------------------------------------------------- exact join of dense parts
+
+
+def _counters(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << COUNTER_BITS, np.int64)
     for batch in batches:
-        linked = []
-        for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.sort(np.concatenate([x, y]))
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            linked.append(100 * shared >= THRESHOLD * (len(x) + len(y) - shared))
-        yield arrow_rows(schema, [batch.column("a"), batch.column("b"), linked])
+        for part in batch.column("shingles").to_pylist():
+            counts += np.bincount(_counters(np.frombuffer(part, np.uint64)), minlength=len(counts))
+    used = np.flatnonzero(counts)
+    schema = pa.schema([("counter", pa.int64()), ("n", pa.int64())])
+    for start in range(0, len(used), 100_000):
+        part = used[start : start + 100_000]
+        yield arrow_rows(schema, [part, counts[part]])
+
+
+def _prefix_batches(shared, threshold: int):
+    schema = pa.schema([(name, pa.int64()) for name in ("token", "node", "comp", "size")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            for part in pieces(batch, 50):
+                tokens = []
+                sizes = []
+                for data in part.column("shingles").to_pylist():
+                    own = np.frombuffer(data, np.uint64)
+                    # Linked sets share this share of the larger one, so one of the rest and one more.
+                    keep = len(own) + threshold * len(own) // -100 + 1
+                    tokens.append(own[np.lexsort((own, counts[_counters(own)]))[:keep]].view(np.int64))
+                    sizes.append(len(own))
+                times = [len(t) for t in tokens]
+                yield arrow_rows(
+                    schema,
+                    [
+                        np.concatenate(tokens),
+                        *[np.repeat(part.column(c).to_numpy(), times) for c in ("node", "comp")],
+                        np.repeat(np.array(sizes, np.int64), times),
+                    ],
+                )
+
+    return run
+
+
+def prefix_pairs(sets: DataFrame, threshold: int) -> DataFrame:
+    """Every pair ``a`` < ``b`` of different components of ``sets`` (node, comp, shingles) that may be linked.
+
+    Any order of the shingles gives an exact filter; counters of a fixed number put the rare ones first.
+    A shingle pairs the members outside its commonest component with all members of other components.
+    """
+    counts = np.zeros(1 << COUNTER_BITS, np.int64)
+    counted = on_batches(sets.select("shingles"), _count_batches, "counter bigint, n bigint")
+    found = counted.groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    counts[found.column("counter").to_numpy()] = found.column("n").to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+    posts = on_batches(
+        sets.select("node", "comp", "shingles"),
+        _prefix_batches(shared, threshold),
+        "token bigint, node bigint, comp bigint, size bigint",
+    )
+    posts = staged(posts, "prefixes")
+    by_comp = posts.groupBy("token", "comp").agg(F.count("*").alias("n"))
+    tokens = by_comp.groupBy("token").agg(F.max_by("comp", "n").alias("main"), F.count("*").alias("comps"))
+    posts = staged(posts.join(tokens.filter("comps > 1").drop("comps"), "token"), "prefixes")
+    small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    return (
+        posts.filter("comp <> main")
+        .alias("x")
+        .join(posts.alias("y"), F.col("x.token") == F.col("y.token"))
+        .filter("x.comp <> y.comp and (y.comp = y.main or x.node < y.node)")
+        .filter(100 * small >= threshold * large)
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .distinct()
+    )
 
 
 # ---------------------------------------------------------------- components
@@ -320,9 +430,9 @@ def may_hold(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def find_links(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
+def find_links(docs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame | None:
     """``node``, ``comp`` of all representatives that are linked with another one; None if none is."""
-    regions = forest_regions(reps)
+    regions, dense = forest_regions(reps)
     # Each node's regions by tree, 0 where it stands alone.
     homes = regions.groupBy("node").agg(
         F.array(*[F.coalesce(F.max(F.when(F.col("tree") == t, F.col("region"))), F.lit(0)) for t in range(TREES)]).alias("homes")
@@ -352,24 +462,33 @@ def find_links(docs: DataFrame, reps: DataFrame) -> DataFrame | None:
             )
         members = members.select("region", "tree", "node", "homes", "comp", "sketch", "tried")
         sorted_rows = members.repartition("region").sortWithinPartitions("region", "node")
-        pairs = staged(on_batches(sorted_rows, _pair_batches(most), "a bigint, b bigint").distinct(), "pairs")
-        with_sets = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b"
-        )
-        verified = on_batches(
-            with_sets.select("a", "b", "set_a", "set_b"), _verify_batches, "a bigint, b bigint, linked boolean"
-        )
-        verified = staged(verified, "verified")
+        named = on_batches(sorted_rows, _pair_batches(most, sketch_least(threshold)), "a bigint, b bigint")
+        verified = verified_pairs(staged(named.distinct(), "pairs"), sets, threshold)
         if verified.isEmpty():
             break
         tested = verified if tested is None else tested.unionByName(verified)
         links = tested.filter("linked")
         if not links.isEmpty():
             comps = staged(star_components(links), "comps")
-    return comps
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
+    if dense is None:
+        return comps
+    # What lengthened regions may have parted: the pairs of their members that still are in different components.
+    left = sets.join(dense, "node").select("node", "shingles")
+    left = left.withColumn("comp", F.col("node")) if comps is None else (
+        left.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    )
+    pairs = prefix_pairs(staged(left, "dense"), threshold)
+    if tested is not None:
+        pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    verified = verified_pairs(staged(pairs, "pairs"), sets, threshold)
+    more = verified.filter("linked")
+    if more.isEmpty():
+        return comps
+    links = more if tested is None else tested.filter("linked").unionByName(more)
+    return staged(star_components(links), "comps")
+
+
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept``: one row per row of ``docs``."""
     docs = only(docs, "doc_id", "text")
     signed = staged(on_batches(docs, _sign_batches, SIGNED_DDL), "signed")
@@ -383,7 +502,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     reps = own.join(classes, "set_key").filter("doc_id = node").select("node", "set_key", "tree_values")
     reps = staged(reps.dropDuplicates(["set_key"]), "reps")
     members = own.select("doc_id", "n_shingles", "set_key").join(classes, "set_key").drop("set_key")
-    comps = find_links(docs, reps)
+    comps = find_links(docs, reps, threshold)
     if comps is not None:
         members = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     else:
@@ -403,13 +522,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, threshold: int = STAGE_THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, all columns as they are.
 
     Of rows that repeat a ``doc_id`` one stays; rows without an id stay.
     """
     mine, copy = unused(docs, "_gone"), unused(docs, "_copy")
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias(mine)).distinct()
+    gone = near_duplicates(docs, threshold).filter("not kept").select(F.col("doc_id").alias(mine)).distinct()
     known = docs.filter("doc_id is not null").join(gone, F.col("doc_id") == F.col(mine), "left_anti")
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     known = known.withColumn(copy, F.row_number().over(first)).filter(F.col(copy) == 1).drop(copy)

@@ -566,7 +566,7 @@ def test_round_trip_of_odd_texts(spark):
 # ------------------------------------------------------------------ 10
 
 
-def plain_components(texts):
+def plain_components(texts, threshold=85):
     sets = {}
     for i, t in texts:
         ws = (t or "").encode().lower().split()
@@ -580,7 +580,7 @@ def plain_components(texts):
 
     for a, b in itertools.combinations(sorted(sets), 2):
         x, y = sets[a], sets[b]
-        if x and y and 100 * len(x & y) >= 85 * len(x | y):
+        if x and y and 100 * len(x & y) >= threshold * len(x | y):
             a, b = sorted((top(a), top(b)))
             low[b] = a
     return {i: (len(sets[i]), top(i)) for i in sets}
@@ -599,20 +599,26 @@ def near_texts(rng):
     return texts
 
 
-@pytest.mark.parametrize("region", [2048, 4])
-def test_near_duplicates_as_by_all_pairs(spark, monkeypatch, region):
-    """Also with regions so small that the forest has to go deeper."""
+@pytest.mark.parametrize(("region", "threshold"), [(2048, 85), (4, 85), (2048, 80), (6, 80)])
+def test_near_duplicates_as_by_all_pairs(spark, monkeypatch, region, threshold):
+    """Also with regions so small that the forest has to go deeper and part what belongs together."""
     monkeypatch.setattr(near_dup, "REGION", region)
     texts = near_texts(random.Random(21)) + [None, "", " \n"]
-    rows = check_rows(near_dup.near_duplicates(frame(spark, texts)), len(texts))
-    plain = plain_components(enumerate(texts))
+    rows = check_rows(near_dup.near_duplicates(frame(spark, texts), threshold), len(texts))
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
-    if region == 2048:
-        assert got == plain
+    assert got == plain_components(enumerate(texts), threshold)
     assert {i for i, v in got.items() if v[0] == 0} == set(range(len(texts) - 3, len(texts)))
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def test_long_regions_at_the_last_depth_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "REGION", 6)
+    monkeypatch.setattr(near_dup, "DEPTHS", (2, 3))
+    texts = near_texts(random.Random(22))
+    rows = near_dup.near_duplicates(frame(spark, texts)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == plain_components(enumerate(texts))
+
+
 def test_near_duplicates_take_odd_rows(spark):
     docs = frame(spark, ODD)
     rows = {(r["doc_id"], r["component_id"], r["kept"]) for r in check_rows(near_dup.near_duplicates(docs), len(ODD))}
