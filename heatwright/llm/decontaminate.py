@@ -7,8 +7,9 @@ at every offset from two 64-bit reads. A bitmap of the items' grams marks candid
 some item go on to exact look-up, where the shared grams are counted per item in overlapping diagonal bands.
 Bands that reach the item's bound are aligned within the band, and a hit is an alignment within the budget.
 
-The benchmark is read in parts of at most PART_BYTES characters (by the sum of their lengths), one pass over
-the documents each, so what is sent to the executors is bounded however large the benchmark is.
+Different item texts are read in parts of about PART_BYTES bytes, one pass over the documents each, so what is
+sent to the executors stays as small however large the benchmark is and however often it repeats an item. Hits
+are joined with the rows of the benchmark by a hash of the text.
 
 Defined results: null and empty texts and items hit nothing. Items too short for the lemma's bound to be
 positive must occur exactly (normalised), those without a letter or digit never do. Repeated rows, repeated
@@ -247,13 +248,14 @@ def align(item: bytes, text: np.ndarray, low: int, high: int, budget: int) -> tu
     return edits, max(0, stop - size), stop
 
 
-def item_parts(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
-    """The benchmark in parts of about PART_BYTES characters, dealt by a hash of each item."""
-    size = benchmark.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+def item_parts(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The different texts of the benchmark and their hashes, in parts of about PART_BYTES bytes."""
+    texts = only(benchmark, "text").filter("text is not null").distinct().select(F.xxhash64("text").alias("key"), "text")
+    size = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n_parts = -(-size // PART_BYTES)
     for part in range(n_parts):
-        chosen = benchmark.filter(F.pmod(F.xxhash64("text", "item_id"), F.lit(n_parts)) == part)
-        yield [(r["item_id"], r["text"]) for r in chosen.select("item_id", "text").collect()]
+        chosen = texts.filter(F.pmod("key", F.lit(n_parts)) == part)
+        yield [(r["key"], r["text"]) for r in chosen.collect()]
 
 
 def _hits_of(shared) -> object:
@@ -290,16 +292,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     (code points, end exclusive) and its edits."""
     spark = docs.sparkSession
     docs = only(docs, "doc_id", "text")
-    out = spark.createDataFrame([], HITS_DDL)
-    for items in item_parts(only(benchmark, "item_id", "text")):
+    hits = spark.createDataFrame([], HITS_DDL)
+    for items in item_parts(benchmark):
         shared = spark.sparkContext.broadcast(ItemIndex(items))
-        out = out.unionByName(on_batches(docs, _hits_of(shared), HITS_DDL))
-    return out
+        hits = hits.unionByName(on_batches(docs, _hits_of(shared), HITS_DDL))
+    rows = benchmark.filter("text is not null").select(F.xxhash64("text").alias("key"), F.col("item_id").cast("bigint"))
+    return (
+        hits.withColumnRenamed("item_id", "key")
+        .join(rows, "key")
+        .select("doc_id", "item_id", "span_start", "span_end", "edits")
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item is found, all columns as they are."""
-    for items in item_parts(only(benchmark, "item_id", "text")):
+    for items in item_parts(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(items))
         docs = on_batches(docs, _clean_of(shared), docs.schema)
     return docs
