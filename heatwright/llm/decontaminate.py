@@ -1,9 +1,10 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
 A benchmark item of m characters that occurs in a text with at most k edits shares m - q + 1 - k * q of its
-q-grams with it, all within k diagonals of each other. Texts and items are normalised alike (A-Z lowered,
-every run of other ASCII characters than letters and digits one blank), and their q-grams are hashed
-at every offset from two 64-bit reads. A bitmap of the items' grams marks candidate offsets; only stretches dense enough for
+q-grams with it, all within k diagonals of each other. Texts and items are normalised alike, in characters: case
+folded and compatibility forms composed (NFKC) in any script, format characters dropped, every run of blanks,
+punctuation and other ASCII characters than letters and digits one blank. Their q-grams are hashed at every offset
+from two 64-bit reads, of one byte a character: characters that share a byte only add candidates. A bitmap of the items' grams marks candidate offsets; only stretches dense enough for
 some item go on to exact look-up, where the shared grams are counted per item in overlapping diagonal bands.
 Bands that reach the item's bound are aligned within the band, and a hit is an alignment within the budget.
 
@@ -12,21 +13,23 @@ sent to the executors stays as small however large the benchmark is and however
 are joined with the rows of the benchmark by a hash of the text.
 
 Defined results: null and empty texts and items hit nothing. Items too short for the lemma's bound to be
-positive must occur exactly (normalised), those without a letter or digit never do. Repeated rows, repeated
+positive must occur exactly (normalised) and as whole words, where their script parts words; those without a letter or digit never do. Repeated rows, repeated
 ids and null ids are judged row by row; repeated items give a row each. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatwright.llm.texts import arrow_rows, as_bytes, code_points, on_batches, only, pieces
+from heatwright.llm.texts import arrow_rows, as_bytes, on_batches, only, pieces
 
 # Q-gram length, from 8 to 16.
 Q = 12
@@ -58,19 +61,117 @@ _FOLD_TABLE = _FOLD.tobytes()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xD6E8FEB86659FD93)
 
-
-def normalised(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Folded bytes, and the offset of each in ``text``."""
-    folded = np.frombuffer(text.translate(_FOLD_TABLE), np.uint8)
+# What each character folds to, worked out when it is first met: itself, one other, or one of these.
+_UNKNOWN, _SEVERAL, _EXTENDS = -1, -2, -3
+_FOLDED = np.full(0x110000, _UNKNOWN, np.int32)
+_FOLDED[:128] = _FOLD[:128]
+# Scripts that put no blanks between words: Thai to Lao, Myanmar, Khmer, kana and Han.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x31FF), (0x3400, 0x9FFF))
+UNSPACED += ((0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+
+
+@lru_cache(100_000)
+def folded_cluster(cluster: str) -> tuple[int, ...]:
+    """What a character and the marks on it fold to: any number of code points."""
+    composed = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", cluster).casefold())
+    out = []
+    for letter in composed:
+        kind = unicodedata.category(letter)
+        if letter < "\x80":
+            out.append(int(_FOLD[ord(letter)]))
+        elif kind[0] in "PZ" or kind == "Cc":
+            out.append(32)
+        elif kind != "Cf":
+            out.append(ord(letter))
+    return tuple(out)
+
+
+def _learn(letters: np.ndarray) -> None:
+    for code in letters.tolist():
+        lead = unicodedata.normalize("NFKD", chr(code))[0]
+        if unicodedata.category(lead)[0] == "M" or 0x1160 <= ord(lead) <= 0x11FF:
+            _FOLDED[code] = _EXTENDS
+        else:
+            out = folded_cluster(chr(code))
+            _FOLDED[code] = out[0] if len(out) == 1 else _SEVERAL
+
+
+def _folded_points(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Folded code points, and the first character of the text that each stands for and the one after its last."""
+    points = np.frombuffer(text.decode(errors="replace").encode("utf-32-le"), "<u4")
+    codes = _FOLDED[points]
+    if (codes == _UNKNOWN).any():
+        _learn(np.unique(points[codes == _UNKNOWN]))
+        codes = _FOLDED[points]
+    first = np.arange(len(points))
+    if codes.min() >= 0:
+        return codes, first, first + 1
+    # Marks go with the character before them; a cluster that is not one plain character is folded as a whole.
+    first = np.flatnonzero((codes != _EXTENDS) | (first == 0))
+    stop = np.append(first[1:], len(points))
+    codes = codes[first]
+    special = np.flatnonzero((codes < 0) | (stop - first > 1))
+    outs = [
+        folded_cluster(points[a:b].tobytes().decode("utf-32-le"))
+        for a, b in zip(first[special].tolist(), stop[special].tolist(), strict=True)
+    ]
+    sizes = np.ones(len(codes), np.int64)
+    sizes[special] = [len(out) for out in outs]
+    whole = np.repeat(codes, sizes)
+    inside = np.ones(len(codes), bool)
+    inside[special] = False
+    whole[~np.repeat(inside, sizes)] = [code for out in outs for code in out]
+    return whole, np.repeat(first, sizes), np.repeat(stop, sizes)
+
+
+def normalised(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Folded characters (bytes, if ``text`` is ASCII), and the span of ``text`` in code points each stands for."""
+    if text.isascii():
+        folded = np.frombuffer(text.translate(_FOLD_TABLE), np.uint8)
+        first = np.arange(len(folded))
+        stop = first + 1
+    else:
+        folded, first, stop = _folded_points(text)
     blank = folded == 32
     keep = ~blank
     keep[1:] |= ~blank[:-1]
-    at = np.flatnonzero(keep)
-    return folded[at], at
+    return folded[keep], first[keep], stop[keep]
+
+
+def as_text(folded: np.ndarray) -> str:
+    return folded.tobytes().decode("ascii" if folded.dtype == np.uint8 else "utf-32-le")
+
+
+def letters_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+def one_byte(folded: np.ndarray) -> np.ndarray:
+    """A byte for each character; those beyond ASCII share 128 of them."""
+    if folded.dtype == np.uint8:
+        return folded
+    return np.where(folded < 128, folded, folded & 127 | 128).astype(np.uint8)
+
+
+def _parted(left: str, right: str) -> bool:
+    """Whether a word may end between two neighbouring characters."""
+    return " " in (left, right) or any(a <= ord(c) <= b for c in (left, right) for a, b in UNSPACED)
+
+
+def whole_word(item: str, text: str) -> int:
+    """Place of the first occurrence of the item as whole words, or -1; the text begins and ends with a blank."""
+    place = text.find(item)
+    while place >= 0:
+        end = place + len(item)
+        if _parted(text[place - 1], item[0]) and _parted(item[-1], text[end]):
+            return place
+        place = text.find(item, place + 1)
+    return -1
 
 
 def grams(folded: np.ndarray) -> np.ndarray:
-    """The q-gram at every offset as one number, from its first and its last eight bytes."""
+    """The q-gram at every offset as one number, from the bytes of its first and its last eight characters."""
+    folded = one_byte(folded)
     n = len(folded) - 7
     if n < Q - 7:
         return np.zeros(0, np.uint64)
@@ -82,7 +183,7 @@ def grams(folded: np.ndarray) -> np.ndarray:
 @dataclass
 class Item:
     item_id: int | None
-    text: bytes
+    text: str
     budget: int
     bound: int
 
@@ -94,8 +195,7 @@ class ItemIndex:
         self.items: list[Item] = []
         self.short: list[Item] = []
         for item_id, text in items:
-            folded, _ = normalised((text or "").encode())
-            data = folded.tobytes().strip()
+            data = as_text(normalised((text or "").encode())[0]).strip(" ")
             if not data:
                 continue
             m = len(data)
@@ -104,7 +204,7 @@ class ItemIndex:
             (self.items if bound > 0 else self.short).append(Item(item_id, data, budget, bound))
         found, owner, place = [], [], []
         for k, item in enumerate(self.items):
-            own = grams(np.frombuffer(item.text, np.uint8))
+            own = grams(letters_of(item.text))
             found.append(own)
             owner.append(np.full(len(own), k, np.int32))
             place.append(np.arange(len(own), dtype=np.int32))
@@ -179,7 +279,7 @@ class ItemIndex:
 
     def search(self, text: bytes) -> list[tuple[int | None, int, int, int]]:
         """(item_id, start, end, edits) of every item found: its best occurrence, in code points."""
-        folded, at = normalised(text)
+        folded, begins, ends = normalised(text)
         if not len(folded):
             return []
         best: dict[int, tuple[int, int, int]] = {}
@@ -190,17 +290,16 @@ class ItemIndex:
                 best[k] = hit
         found = [(self.items[k], *hit) for k, hit in best.items()]
         if self.short:
-            whole = b" " + folded.tobytes().strip() + b" "
+            whole = " " + as_text(folded).strip(" ") + " "
             lead = 1 if folded[0] == 32 else 0
             for item in self.short:
-                place = whole.find(b" " + item.text + b" ")
+                place = whole_word(item.text, whole)
                 if place >= 0:
-                    found.append((item, 0, place + lead, place + lead + len(item.text)))
-        out = []
-        for item, edits, start, end in found:
-            first, last = int(at[start]), int(at[end - 1]) + 1
-            before = code_points(text[:first])
-            out.append((item.item_id, before, before + code_points(text[first:last]), edits))
+                    place += lead - 1
+                    found.append((item, 0, place, place + len(item.text)))
+        out = [
+            (item.item_id, int(begins[start]), int(ends[end - 1]), edits) for item, edits, start, end in found
+        ]
         return sorted(out, key=lambda row: (row[0] is None, row[0] or 0, row[1]))
 
 
@@ -225,16 +324,16 @@ def _last_row(item: np.ndarray, text: np.ndarray, low: int, width: int, anchored
     return row
 
 
-def align(item: bytes, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
+def align(item: str, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
     """(edits, start, end) of the best alignment that starts and stays near the band, within the budget."""
     m = len(item)
     low, high = low - budget, high + budget
     begin, end = max(0, low), min(len(text), high + m + 1)
     region = text[begin:end]
-    exact = region.tobytes().find(item)
+    exact = as_text(region).find(item)
     if exact >= 0:
         return 0, begin + exact, begin + exact + m
-    letters = np.frombuffer(item, np.uint8)
+    letters = letters_of(item)
     row = _last_row(letters, text, low, high - low + 1)
     edits = int(row.min())
     if edits > budget:

@@ -249,6 +249,35 @@ def test_contamination_takes_odd_rows_and_parts(spark, monkeypatch):
     assert decontaminate.drop_contaminated(frame(spark, []), bench).count() == 0
 
 
+def test_contamination_in_other_case_and_form(spark):
+    items = [
+        (37, "La. Éai éonleeau pour an éonqueê aivi ai, éenaitreoiaux éoiré anvitre èenreré èéèquepaè le. Oueuxoi les. "
+             "Laèèleré ouantre pour eauréon paelle èmentaux éèré évivi, aiontre en èeuxmenten. Éauxouai et éè."),
+        (130, "Doesbo dora el ñ es, queasarjarr mente, ciónmiírr asesrr ños ueíos ueie, osesgaiedo. Esci llar osñ que. "
+              "De lldo de, osue do el ueciónez no ññci."),
+        (1, "съешь ещё этих мягких французских булок, да выпей же чаю"),
+        (2, "die größte straße führt außen um die stadt herum"),
+        (3, "漢字仮名交じり文の例"),
+        (4, "короткий"),
+    ]
+    by_id = dict(items)
+    combining = by_id[37].replace("é", "e\u0301").replace("è", "e\u0300")
+    texts = [f"{'ä' * k} before, {by_id[i].upper()} after" for k, i in enumerate((130, 37, 1, 2))]
+    texts += [f"x {combining} y", "前" + by_id[3] + "後", "КОРОТКИЙ» текст", "некороткий текст"]
+    texts += [by_id[1].replace(" ", "\u00a0—\u2009").replace("мягких", "мяг\u00adких")]
+    wanted = {(0, 130), (1, 37), (2, 1), (3, 2), (4, 37), (5, 3), (6, 4), (8, 1)}
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = decontaminate.contaminated(frame(spark, texts), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == wanted and all(r["edits"] == 0 for r in rows)
+    spans = {r["doc_id"]: texts[r["doc_id"]][r["span_start"] : r["span_end"]] for r in rows}
+    assert spans[3] == by_id[2].upper() and spans[4] == combining[:-1] and spans[5] == by_id[3]
+    assert spans[0] == by_id[130].upper()[:-1] and spans[6] == "КОРОТКИЙ"
+    # Edits and the budget count characters.
+    cut = by_id[1].upper().replace("Ш", "Q", 1).replace("Ц", "Q", 1)
+    rows = decontaminate.contaminated(frame(spark, [cut, cut.replace("Б", "Q", 1)]), bench).collect()
+    assert [(r["doc_id"], r["item_id"], r["edits"]) for r in rows] == [(0, 1, 2)]
+
+
 # ------------------------------------------------------------------ 4
 
 
