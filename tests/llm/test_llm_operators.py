@@ -319,6 +319,19 @@ def test_class_factors_sum_to_one():
     assert np.exp(logs).sum() == pytest.approx(1, rel=1e-5)
 
 
+def test_weights_are_averaged_over_the_tasks_that_saw_them(spark):
+    rare = spark.createDataFrame([(" ".join(["left right"] * 200),)], "text string").coalesce(1)
+    other = spark.createDataFrame([(f"{k} {k}",) for k in range(300)], "text string").repartition(6)
+    vocabulary = lm_score.Vocabulary(lm_score.token_counts(rare.unionByName(other)))
+    numbers = lm_score.Numbers(vocabulary)
+    stream, _, _ = lm_score.numbered_tokens([b"left right left right"], numbers, numbers.rest + lm_score.CLASSES)
+    features = lm_score.context_features(stream, np.array([5, 6]))[:2]  # its own words, seen by one task alone
+    alone = lm_score.trained_weights(rare, vocabulary)
+    both = lm_score.trained_weights(rare.unionByName(other), vocabulary)
+    assert np.abs(alone[features]).max() > 0.1
+    assert np.abs(both[features]).sum() == pytest.approx(np.abs(alone[features]).sum(), rel=0.2)
+
+
 def test_frequent_table_changes_no_base_score(spark, monkeypatch):
     docs = frame(spark, [words(random.Random(k), 30) for k in range(40)] + ["a a", "a a"])
     whole = sorted((r["doc_id"], round(r["base_score"], 9), r["n_known"]) for r in lm_score.score_texts(docs).collect())
