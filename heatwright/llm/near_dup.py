@@ -488,6 +488,13 @@ def find_links(docs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame |
     return staged(star_components(links), "comps")
 
 
+def same_id_links(members: DataFrame) -> DataFrame:
+    """``a``, ``b``: the classes of each ``doc_id`` with texts in several, each with the least of them."""
+    nodes = members.select("doc_id", "node")
+    least = nodes.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b < last")
+    return nodes.join(least, "doc_id").filter("node > b").select(F.col("node").alias("a"), "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept``: one row per row of ``docs``."""
     docs = only(docs, "doc_id", "text")
@@ -503,6 +510,11 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     reps = staged(reps.dropDuplicates(["set_key"]), "reps")
     members = own.select("doc_id", "n_shingles", "set_key").join(classes, "set_key").drop("set_key")
     comps = find_links(docs, reps, threshold)
+    same = same_id_links(members)
+    if not same.isEmpty():
+        if comps is not None:
+            same = same.unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")))
+        comps = staged(star_components(same), "comps")
     if comps is not None:
         members = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     else:

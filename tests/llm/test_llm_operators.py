@@ -670,6 +670,17 @@ def test_near_duplicates_take_odd_rows(spark):
     assert near_dup.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_ids_with_several_texts_link_their_classes(spark):
+    one, two = words(random.Random(1), 40), words(random.Random(2), 40)
+    docs = frame(spark, [(3, two, "s"), (5, one, "s"), (5, two, "s"), (6, one, "s"), (7, words(random.Random(3), 40), "s")])
+    rows = near_dup.near_duplicates(docs).collect()
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in rows} == {
+        (3, 3, True), (5, 3, False), (6, 3, False), (7, 7, True)
+    }
+    assert len(rows) == 5
+    assert sorted(r["doc_id"] for r in near_dup.keep_one_of_each(docs).collect()) == [3, 7]
+
+
 def test_star_components(spark):
     rng = random.Random(1)
     edges = [(k, k + 1) for k in range(0, 60)] + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(30)]
