@@ -146,9 +146,91 @@ FROM documents LEFT JOIN sizes USING (doc_id)
      LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reached GROUP BY a) USING (doc_id)
 """
 
+OP11 = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), known AS (
+  SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic
+  FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         list_filter([
+           CASE WHEN len(w) < 200 THEN 'A' END,
+           CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+           CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' END,
+           CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+           CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY text) THEN 'E' END
+         ], lambda x: x IS NOT NULL) AS fails
+  FROM worded d LEFT JOIN known k ON k.doc_id = d.doc_id
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), orders(o) AS (
+  SELECT '' UNION ALL SELECT o || l FROM orders JOIN letters ON strpos(o, l) = 0 WHERE length(o) < 5
+), steps AS (
+  SELECT o, s::INT AS s, substr(o, s, 1) AS f, string_split(substr(o, 1, s - 1), '') AS before
+  FROM (SELECT o FROM orders WHERE length(o) = 5), range(1, 6) AS t(s)
+), counted AS (
+  SELECT part, good, toxic, fails, count(*) AS n FROM judged GROUP BY ALL
+), audited AS (
+  SELECT part, o, s, f,
+         sum(n) FILTER (NOT list_has_any(fails, before) AND NOT list_contains(fails, f)) AS kept,
+         sum(n) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, f)) AS removed,
+         sum(n) FILTER (list_has_any(fails, before) AND list_contains(fails, f)) AS redundant,
+         sum(n) FILTER (fails = [f]) AS unique_fails,
+         sum(n * good) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, f)) AS good_lost,
+         sum(n * toxic) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, f)) AS toxic_lost
+  FROM counted, steps GROUP BY ALL
+)
+SELECT part, o AS filter_order, s AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (sum(coalesce(removed, 0)) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM audited
+"""
+
+OP12 = r"""
+WITH RECURSIVE own AS (
+  SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), listed AS (
+  SELECT conv_id, list(t ORDER BY pos) AS turns FROM own GROUP BY conv_id
+), bits(conv_id, k, crc) AS (
+  SELECT conv_id, 0, 4294967295 FROM listed
+  UNION ALL
+  SELECT conv_id, k + 1, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+  FROM (SELECT conv_id, k,
+               CASE WHEN k % 8 = 0 THEN xor(crc, ord(substr(conv_id::VARCHAR, k // 8 + 1, 1))::BIGINT) ELSE crc END AS x
+        FROM bits WHERE k < 8 * length(conv_id::VARCHAR))
+), heads AS (
+  SELECT conv_id, xor(crc, 4294967295) % 6 AS h FROM bits WHERE k = 8 * length(conv_id::VARCHAR)
+), rebuilt AS (
+  SELECT l.conv_id AS c, list_concat(coalesce(b.turns, [])[1:h], l.turns[h + 1:]) AS turns
+  FROM listed l JOIN heads USING (conv_id) LEFT JOIN listed b ON b.conv_id = l.conv_id - l.conv_id % 100
+), prefixes AS (
+  SELECT c, turns, d, turns[1:d] AS p FROM rebuilt, unnest(range(0, len(turns) + 1)) AS u(d)
+), nodes AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(turns) = d), '')) AS ends_sha256,
+         (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE length(p[d].text) END AS saved
+  FROM prefixes GROUP BY p, d
+), family AS (
+  SELECT a.p, a.d, count(*) FILTER (b.d = a.d + 1) AS n_children, sum(b.saved) AS saved_tokens,
+         count(*) FILTER (NOT EXISTS (SELECT 1 FROM nodes x WHERE x.d = b.d + 1 AND x.p[1:b.d] = b.p)) AS n_leaves
+  FROM nodes a JOIN nodes b ON b.p[1:a.d] = a.p AND b.d >= a.d GROUP BY a.p, a.d
+)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, f.n_children, f.n_leaves,
+       f.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN family f ON f.p = n.p AND f.d = n.d LEFT JOIN nodes u ON u.d = n.d - 1 AND u.p = n.p[1:n.d - 1]
+"""
+
 ORACLES = {
     "op1_url_filter": OP1,
     "op2_quality_rules": OP2,
     "op9_chat_format": OP9,
     "op10_near_duplicates": OP10,
+    "op11_filter_audit": OP11,
+    "op12_conversation_trie": OP12,
 }

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from heatwright.llm import (
     chat_format,
+    conversation_trie,
     decontaminate,
+    filter_audit,
     lm_score,
     mixing,
     near_dup,
@@ -16,6 +18,7 @@ from heatwright.llm import (
     quality_pu,
     quality_rules,
     token_count,
+    toxicity,
     url_filter,
 )
 from heatwright.llm.texts import only, table
@@ -78,6 +81,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,5 +106,8 @@ QUERIES = {
         op8_quality_classifier,
         op9_chat_format,
         op10_near_duplicates,
+        op11_filter_audit,
+        op12_conversation_trie,
+        op13_toxicity,
     )
 }
