@@ -518,13 +518,12 @@ def quarantine_split(spark, sf_dir):
 
 @query
 def quarantine_append(spark, sf_dir):
-    """Rows of the table and of the quarantine folder after one append."""
+    """Good and bad rows of the table after one append."""
     lines = table(spark, sf_dir, "lineitem")
     stored = ReportTable(spark, scratch_path(spark, "lines"), lines.schema, ["l_orderkey"], buckets=8)
-    quarantine = scratch_path(spark, "quarantine")
-    stored.append(lines, _line_rules(), quarantine)
+    stored.append(lines, _line_rules())
     kept = stored.read().withColumn("reason", F.lit("kept"))
-    both = kept.unionByName(spark.read.parquet(quarantine))
+    both = kept.unionByName(stored.quarantined())
     return both.groupBy("reason").agg(
         F.count("*").alias("row_count"), F.sum("l_quantity").alias("quantity")
     )
