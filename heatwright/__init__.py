@@ -4,6 +4,7 @@ from heatwright.plans.additions import additions_by_heat, additions_detail
 from heatwright.plans.chemistry import chemistry, latest_chemistry
 from heatwright.plans.heat_report import heat_report
 from heatwright.plans.heat_sheet import heat_sheet
+from heatwright.plans.incremental import run_incremental
 from heatwright.plans.measurements import latest_measurement
 from heatwright.plans.milestones import stir_ladle_times
 from heatwright.plans.reference_report import last_heats, ref_report
@@ -22,6 +23,7 @@ __all__ = [
     "latest_chemistry",
     "latest_measurement",
     "ref_report",
+    "run_incremental",
     "run_report",
     "stir_ladle_times",
 ]

@@ -24,6 +24,16 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return top_n_per_key(df, keys, order, 1)
 
 
+def newest_place(column: str, order: Sequence[str]) -> Column:
+    """Aggregate: a column's newest value that is not null, behind its place, as ``{k0, ..., v}``.
+
+    The greatest of several such places is that of all their rows, so totals of parts can be totalled again.
+    """
+    value = F.col(column)
+    position = F.struct(*[F.col(name).alias(f"k{i}") for i, name in enumerate(order)], value.alias("v"))
+    return F.max(F.when(value.isNotNull(), position))
+
+
 def latest_non_null(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]
 ) -> DataFrame:

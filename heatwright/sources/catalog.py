@@ -8,12 +8,15 @@ from __future__ import annotations
 from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heatwright.functions.scalars import matches, strip_sql
-from heatwright.sources.schemas import HEAT_ID_COLUMNS, SOURCES
+from heatwright.sources.schemas import CLUSTERED_BY, HEAT_ID_COLUMNS, SOURCES
+
+# Words of the bitmap that filters by a relation: 128 KiB. Full from some millions of heats on, it lets all through.
+BITMAP_WORDS = 1 << 14
 
 HeatFilter = DataFrame | str | Collection[str] | None
 
@@ -140,6 +143,37 @@ class SourceCatalog:
         loaders = {name: (lambda table=table: load(table)) for name, table in tables.items()}
         return cls(loaders, padded=padded)
 
+    @classmethod
+    def from_tables(
+        cls, spark: SparkSession, prefix: str, tables: Iterable[str] = tuple(SOURCES), padded: Collection[str] = ()
+    ) -> SourceCatalog:
+        """Tables ``<prefix><table>`` of the session's catalog, such as ``store_bucketed`` makes."""
+        return cls({name: (lambda name=name: spark.table(f"{prefix}{name}")) for name in tables}, padded=padded)
+
+    def store_bucketed(
+        self,
+        prefix: str,
+        root: str,
+        buckets: int,
+        clustered_by: Mapping[str, str] = CLUSTERED_BY,
+    ) -> SourceCatalog:
+        """A catalog whose tables are stored under ``root`` in ``buckets`` by the key they are joined on, and sorted by it.
+
+        Tables of one key then meet bucket by bucket: their joins and groupings need no exchange, and their sort is
+        there already. Stored once, read by every report. Tables that are not named in ``clustered_by`` stay as they are.
+        """
+        stored = {}
+        for name, key in clustered_by.items():
+            if name not in self:
+                continue
+            rows = self[name]
+            spark, full = rows.sparkSession, f"{prefix}{name}"
+            placed = rows.repartition(buckets, key).sortWithinPartitions(key)
+            writer = placed.write.format("parquet").bucketBy(buckets, key).sortBy(key).mode("overwrite")
+            writer.option("path", f"{root}/{name}").saveAsTable(full)
+            stored[name] = lambda full=full, spark=spark: spark.table(full)
+        return self.merged(SourceCatalog(stored, self._schemas))
+
     def merged(self, other: SourceCatalog) -> SourceCatalog:
         """Both catalogs in one; names of ``other`` win."""
         padded = (self._padded - set(other._loaders)) | other._padded
@@ -179,7 +213,8 @@ def only_heats(df: DataFrame, heats: HeatFilter, column: str) -> DataFrame:
     """Keep the rows of the requested heats: all, a LIKE pattern, a list, or a relation with ``heat_id``.
 
     A pattern or a list becomes a filter that reaches the scan. A relation is semi-joined; Spark sends
-    it to the executors when it is known to be small.
+    it to the executors when it is known to be small. Before that, and before any shuffle, rows are
+    filtered at the scan by the relation's range and bitmap, found at run time.
     """
     if heats is None:
         return df
@@ -187,4 +222,29 @@ def only_heats(df: DataFrame, heats: HeatFilter, column: str) -> DataFrame:
         return df.where(matches(F.col(column), heats))
     if not isinstance(heats, DataFrame):
         return df.where(F.col(column).isin(heat_ids(heats)))
-    return df.join(heats.select(F.col("heat_id").alias(column)), column, "left_semi")
+    near = df.where(may_be_among(heats, "heat_id", F.col(column)))
+    return near.join(heats.select(F.col("heat_id").alias(column)), column, "left_semi")
+
+
+def may_be_among(relation: DataFrame, name: str, value: Column) -> Column:
+    """Whether ``value`` lies between the least and the greatest of a relation's values and its hash is in their bitmap.
+
+    Both come from one scalar subquery, an aggregate of fixed size however large the relation is: all of a plan's
+    sources share it. What is not in the relation may pass by chance, so an exact join must follow.
+    """
+    held = relation.select(F.col(name).alias("v")).where(F.col(name).isNotNull())
+    place = F.pmod(F.xxhash64("v"), F.lit(64 * BITMAP_WORDS))
+    words = held.groupBy(F.floor(place / 64).alias("word")).agg(
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))).alias("bits"),
+    )
+    every = relation.sparkSession.range(0, BITMAP_WORDS, 1, 1).select(F.col("id").alias("word")).join(words, "word", "left")
+    in_order = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))))
+    found = every.agg(
+        F.struct(F.min("low").alias("low"), F.max("high").alias("high"), in_order["bits"].alias("bits"))
+    ).scalar()
+    mine = F.pmod(F.xxhash64(value), F.lit(64 * BITMAP_WORDS))
+    bits = F.get(found["bits"], F.floor(mine / 64).cast("int"))
+    hit = F.call_function("shiftrightunsigned", bits, (mine % 64).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    return (value >= found["low"]) & (value <= found["high"]) & hit

@@ -117,6 +117,22 @@ SOURCES: dict[str, T.StructType] = {
 # Identifier columns that some systems deliver padded.
 HEAT_ID_COLUMNS = frozenset({"heat_id", "mlh_heat_no"})
 
+# Key that each source of the wide report is joined and grouped by first.
+CLUSTERED_BY = {
+    "melt_heat": "mlh_heat_no",
+    "melt_heat_result": "mlh_heat_no",
+    "melt_heat_consumption": "mlh_heat_no",
+    "melt_heat_event": "mlh_heat_no",
+    "v_ms_summary": "mlh_heat_no",
+    "l2_l3_message": "msg_counter",
+    "l2_l3_parameter": "msg_counter",
+    "l2_l3_meas_result": "msg_counter",
+    "l2_l3_chem_result": "msg_counter",
+    "l2_l3_chem_result_element": "msg_counter",
+    "l2_l3_heat_addition": "heat_id",
+    "l2_l3_heat_addition_material": "heat_id",
+}
+
 # Upsert target: neighbours of a device.
 NEIGHBOURS = T.StructType(
     [

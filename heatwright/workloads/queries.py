@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from heatwright.plans.additions import additions_by_heat, additions_detail
 from heatwright.plans.chemistry import chemistry, element_values, latest_chemistry
 from heatwright.plans.heat_report import heat_report
 from heatwright.plans.heat_sheet import energy_per_heat, heat_sheet, primary_recipes
+from heatwright.plans.incremental import run_incremental
 from heatwright.plans.measurements import OXYGEN, TEMPERATURE, latest_measurement
 from heatwright.plans.milestones import stir_ladle_times
 from heatwright.plans.reference_report import last_heats, ref_report
@@ -580,3 +582,33 @@ def report_run(spark, sf_dir):
 def report_run_unlisted(spark, sf_dir):
     """Names of the reported heats that the report has no column for."""
     return run_report(spark, order_plant(spark, sf_dir), _report_target(spark), last_n=400).unlisted
+
+
+@query
+def heat_report_bucketed(spark, sf_dir):
+    """The wide report over sources that are stored in buckets by their join keys."""
+    name = f"plant_{uuid.uuid4().hex}_"
+    stored = order_plant(spark, sf_dir).store_bucketed(name, scratch_path(spark, "plant"), buckets=8)
+    return _lower(heat_report(stored))
+
+
+# Columns by which the benchmark tables' plant grows: its counters are keys of static tables.
+PLANT_MARKS = {
+    "melt_heat": "mlh_tap_date",
+    "melt_heat_event": "mhv_date",
+    "melt_heat_result": "mhr_lmf_enddate",
+    "l2_l3_meas_result": "meas_time",
+}
+
+
+@query
+def report_run_incremental(spark, sf_dir):
+    """The report of a plant that grew between two runs; the second run computes only heats with new rows.
+
+    Heats with a number too small to replace are refused by both.
+    """
+    target, state = _report_target(spark), scratch_path(spark, "marks")
+    modes = dict.fromkeys(("energy", "times", "fanout"), "corrected")
+    for earlier in (True, False):
+        run_incremental(spark, order_plant(spark, sf_dir, earlier), target, state, PLANT_MARKS, **modes)
+    return _lower(target.read())

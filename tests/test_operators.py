@@ -18,7 +18,7 @@ from heatwright.functions.scalars import (
 )
 from heatwright.operators.keyed import delete_by_key, merge_upsert, refused_rows, replace_by_key
 from heatwright.operators.latest import latest_non_null, top_n_per_key
-from heatwright.operators.lookups import enrich, left_join_split, spread_key
+from heatwright.operators.lookups import enrich, hot_keys, left_join_spread, spread_key
 from heatwright.operators.pivots import pivot_vocabulary
 from heatwright.operators.quality import split_valid
 from heatwright.sources.catalog import (
@@ -27,6 +27,7 @@ from heatwright.sources.catalog import (
     SourceCatalog,
     conform,
     heat_list,
+    may_be_among,
     only_heats,
 )
 from heatwright.sources.schemas import SOURCES
@@ -136,10 +137,101 @@ def test_spread_key_keeps_keys_and_never_meets_one(spark):
     left=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 3)), max_size=12),
     right=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 3)), max_size=12),
 )
-def test_left_join_split_equals_left_join(spark, left, right):
+def test_left_join_spread_equals_left_join(spark, left, right):
     a = spark.createDataFrame(left, "k int, x int")
     b = spark.createDataFrame(right, "k int, y int")
-    assert rows(left_join_split(a, b, ["k"])) == rows(a.join(b, "k", "left"))
+    expected = rows(a.join(b, "k", "left"))
+    assert rows(left_join_spread(a, b, ["k"])) == expected
+    # From two rows on a key is hot, on either side.
+    assert rows(left_join_spread(a, b, ["k"], rows=2, parts=8)) == expected
+
+
+def test_left_join_spread_on_several_keys(spark):
+    left = [(k % 3, f"m{k % 2}", k) for k in range(60)] + [(None, "m1", 60), (1, None, 61), (7, "m7", 62)]
+    right = [(k % 4, f"m{k % 2}", k) for k in range(80)] + [(None, "m1", 80)]
+    a, b = spark.createDataFrame(left, "k long, m string, x int"), spark.createDataFrame(right, "k long, m string, y int")
+    assert rows(left_join_spread(a, b, ["k", "m"], rows=5, parts=8)) == rows(a.join(b, ["k", "m"], "left"))
+
+
+def test_hot_keys_are_few_and_shared_out_by_their_rows(spark):
+    data = [(1,)] * 300 + [(2,)] * 100 + [(k,) for k in range(10, 600)] + [(None,)] * 500
+    df = spark.createDataFrame(data, "k int").repartition(5)
+    salts = spark.range(1).select(hot_keys(df, ["k"], rows=50, parts=16).alias("s")).first()["s"]
+    # 990 rows have a key; one in 16 of them is 62.
+    assert salts == {"1:1": 5, "1:2": 2}
+
+
+def test_a_message_hot_on_both_sides_is_dealt_to_many_tasks(spark, tmp_path):
+    """One message with a third of both tables: no task joins more than a small part, and each table is read once."""
+    n = 900
+    left = [(0 if i % 3 == 0 else i, i) for i in range(n)]
+    right = [(0 if i % 3 == 0 else i, i) for i in range(n)]
+    for name, data, columns in (("left", left, "k long, x int"), ("right", right, "k long, y int")):
+        spark.createDataFrame(data, columns).write.parquet(f"{tmp_path}/{name}")
+    a, b = spark.read.parquet(f"{tmp_path}/left"), spark.read.parquet(f"{tmp_path}/right")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = left_join_spread(a, b, ["k"], rows=100, parts=16)
+        per_task = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        plain = a.join(b, "k", "left").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    total = (n // 3) ** 2 + 2 * n // 3
+    assert sum(per_task) == total == sum(r["n"] for r in plain)
+    assert max(r["n"] for r in plain) >= (n // 3) ** 2
+    assert max(per_task) < total / 5 and len(per_task) > 30
+    # The sketches read the key alone, the join reads each table once.
+    read = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
+    assert read.count("struct<k:bigint,x:int>") == read.count("struct<k:bigint,y:int>") == 1
+    assert set(read) == {"struct<k:bigint,x:int>", "struct<k:bigint,y:int>", "struct<k:bigint>"}
+
+
+def _above(plan, mark):
+    """The nodes over the first line that holds ``mark``, nearest first."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if mark in line)
+
+    def depth(line):
+        return next((i for i, c in enumerate(line) if c.isalnum() or c == "*"), len(line))
+
+    here = depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < here:
+            here = depth(line)
+            yield line
+
+
+def test_relation_filters_the_scan_before_the_shuffle(spark, tmp_path):
+    spark.range(20_000).selectExpr("CAST(id AS STRING) AS heat_id", "id AS x").write.parquet(f"{tmp_path}/rows")
+    source = spark.read.parquet(f"{tmp_path}/rows")
+    heats = spark.range(0, 20_000, 400).selectExpr("CAST(id AS STRING) AS heat_id")
+    passed = source.where(may_be_among(heats, "heat_id", F.col("heat_id")))
+    assert 50 <= passed.count() < 100
+    kept = only_heats(source, heats, "heat_id")
+    assert rows(kept, "x") == rows(heats.selectExpr("CAST(heat_id AS BIGINT) AS x"))
+    plan = kept.groupBy("heat_id").agg(F.max("x"))._jdf.queryExecution().executedPlan().toString()
+    # From the scan upwards the filter comes before the first exchange.
+    nodes = list(_above(plan, "ReadSchema: struct<heat_id:string,x:bigint>"))
+    filtered = next(i for i, node in enumerate(nodes) if "shiftrightunsigned" in node)
+    assert not any("Exchange" in node for node in nodes[:filtered])
+    nothing = only_heats(source, heats.limit(0), "heat_id")
+    assert nothing.count() == 0
+
+
+def test_a_full_bitmap_lets_all_pass(spark, monkeypatch):
+    monkeypatch.setattr("heatwright.sources.catalog.BITMAP_WORDS", 1)
+    source = spark.range(5000).selectExpr("CAST(id AS STRING) AS heat_id")
+    heats = source.where("CAST(heat_id AS INT) % 2 = 0")
+    assert rows(only_heats(source, heats, "heat_id")) == rows(heats)
 
 
 def test_delete_refuses_small_keys_and_keeps_null_keys(spark):

@@ -17,9 +17,11 @@ from heatwright import (
 )
 from heatwright.operators.pivots import pivot_vocabulary, unlisted
 from heatwright.operators.quality import repeated_keys
+from heatwright.plans.chemistry import element_summary, element_values, latest_elements
+from heatwright.plans.heat_report import named_totals, unlisted_names
 from heatwright.plans.measurements import OXYGEN, TEMPERATURE
 from heatwright.sources.catalog import SourceCatalog, inline_rows
-from heatwright.sources.schemas import ADDITIONS, ELEMENTS, REPORT, SOURCES
+from heatwright.sources.schemas import ADDITIONS, CLUSTERED_BY, ELEMENTS, REPORT, SOURCES
 
 SHEET = ("HEAT_ID", "WOL_DEMAND_NO", "PCD_PRODUCT_CODE", "LMF_KWH", "KWH_TON", "TAP_WEIGHT", "CAST_TON",
          "TREATMENT_TIME", "SOP_PRACTICE_ID")
@@ -397,3 +399,40 @@ def test_report_does_not_depend_on_partitioning(spark, plant):
         {name: (lambda name=name: plant[name].orderBy(F.rand(7)).repartition(5)) for name in SOURCES}
     )
     assert rows(heat_report(shuffled)) == rows(heat_report(plant))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_sources_need_fewer_exchanges(spark, plant, tmp_path):
+    stored = plant.store_bucketed("golden_", str(tmp_path / "stored"), buckets=4)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "4"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        plain = SourceCatalog.from_frames({name: plant[name] for name in SOURCES})
+        counts = [_plan(heat_report(src)).count("Exchange hashpartitioning") for src in (plain, stored)]
+        lab = [_plan(element_values(src)).count("Exchange") for src in (plain, stored)]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert lab == [2, 0]
+    assert counts[1] <= counts[0] - 8
+    assert rows(heat_report(stored)) == rows(heat_report(plant))
+    again = SourceCatalog.from_tables(spark, "golden_", CLUSTERED_BY)
+    assert rows(again["l2_l3_chem_result"]) == rows(plant["l2_l3_chem_result"])
+
+
+def test_staged_totals_give_the_same_report(spark, plant):
+    for fanout in ("reference", "corrected"):
+        totals = named_totals(plant, fanout=fanout)
+        assert rows(heat_report(plant, fanout=fanout, totals=totals)) == rows(heat_report(plant, fanout=fanout))
+    assert rows(unlisted_names(named_totals(plant))) == [("element", "Xx", 1), ("material", "Sand", 1)]
+
+
+def test_newest_elements_of_a_summary(spark, plant):
+    names = ["heat_id", "elem_type", "elem_name", "elem_value"]
+    whole = latest_chemistry(element_values(plant)).select(*names)
+    assert rows(latest_elements(element_summary(plant))) == rows(whole)
