@@ -2,9 +2,10 @@
 
 Messages point at the message they answer. Iterative self-joins of the messages with themselves double the
 distance looked up each round: after k rounds every message knows its ancestor 2^k steps up and the score of
-the path to it. Root-to-leaf paths are ranked by total score (then length, then the smaller leaf id), the
-best path of each conversation is marked by walking the same tables down from its leaf, and its messages are
-formatted as one conversation with a loss mask over the assistant's texts.
+the path to it. Root-to-leaf paths are ranked within their conversation by total score (then length, then the
+smaller leaf id). The best ``paths`` of each conversation are chosen, all without a number; their messages are marked
+by walking the same tables down from the leaves, and each path is formatted as one conversation with a loss mask over
+the assistant's texts.
 
 Template: ``### role: text</turn>`` and a newline for each message. Inside texts and roles the signs that
 could form a control string are written as a backslash and a letter, which can be undone.
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heatwright.llm.texts import only, staged
+from heatwright.llm.texts import only, running, staged
 
 TURN_END = "</turn>\n"
 HEADER = "### "
@@ -62,8 +63,8 @@ def _same(left: str, right: str, key: str) -> Column:
     )
 
 
-def best_paths(messages: DataFrame) -> DataFrame:
-    """``conv_id``, ``id`` and ``depth`` (1 at the root) of the messages on each conversation's best path."""
+def ranked_paths(messages: DataFrame, paths: int | None = None) -> DataFrame:
+    """``conv_id``, ``rank`` (from 1), ``id`` and ``depth`` (1 at the root) of the messages on the chosen paths."""
     nodes = messages.filter("msg_id is not null").select(
         "conv_id",
         F.col("msg_id").alias("id"),
@@ -100,30 +101,31 @@ def best_paths(messages: DataFrame) -> DataFrame:
     full = jumps[-1].filter("up is null")  # what still has an ancestor goes in a circle
     inner = jumps[0].filter("up is not null").select("conv_id", F.col("up").alias("id"))
     leaves = full.alias("n").join(inner.alias("p"), _same("n", "p", "id"), "left_anti")
-    best = leaves.groupBy("conv_id").agg(
-        F.max(F.struct("score", "depth", (-F.col("id")).alias("back"))).alias("best")
-    )
-    marked = best.select("conv_id", (-F.col("best.back")).alias("id"))
+    order = Window.partitionBy("conv_id").orderBy(F.desc("score"), F.desc("depth"), F.asc("id"))
+    marked = leaves.select("conv_id", "id", F.row_number().over(order).alias("rank"))
+    if paths is not None:
+        marked = marked.filter(F.col("rank") <= paths)
     for step in reversed(jumps):
-        above = step.filter("up is not null").alias("n").join(marked.alias("p"), _same("n", "p", "id"), "left_semi")
-        marked = staged(marked.unionByName(above.select("n.conv_id", F.col("n.up").alias("id"))), "path")
+        above = step.filter("up is not null").alias("n").join(marked.alias("p"), _same("n", "p", "id"))
+        marked = staged(marked.unionByName(above.select("n.conv_id", F.col("n.up").alias("id"), "p.rank")), "path")
     return (
         marked.alias("p")
         .join(full.alias("n"), _same("p", "n", "id"))
-        .select("p.conv_id", "p.id", "n.depth")
+        .select("p.conv_id", "p.rank", "p.id", "n.depth")
     )
 
 
-def format_trees(messages: DataFrame) -> DataFrame:
-    """``conv_id``, ``formatted`` and ``loss`` (spans of learned text in it, in code points) per conversation."""
+def format_trees(messages: DataFrame, paths: int | None = None) -> DataFrame:
+    """``conv_id``, ``rank``, ``formatted`` and ``loss`` (spans of learned text in it, in code points) of each path."""
     messages = only(messages, "conv_id", "msg_id", "parent_id", "role", "text", "score")
-    path = best_paths(messages)
+    path = ranked_paths(messages, paths)
     role = F.coalesce("m.role", F.lit(""))
     written = (
         path.alias("n")
         .join(messages.withColumnRenamed("msg_id", "id").alias("m"), _same("n", "m", "id"))
         .select(
             "n.conv_id",
+            "n.rank",
             F.struct(
                 "n.depth",
                 F.concat(F.lit(HEADER), escaped(role, ROLE_ESCAPES), F.lit(": ")).alias("head"),
@@ -132,37 +134,27 @@ def format_trees(messages: DataFrame) -> DataFrame:
             ).alias("turn"),
         )
     )
-    turns = written.groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
-    end = F.lit(len(TURN_END))
-    # One pass over the turns keeps the place reached and the spans found.
-    spans = F.aggregate(
+    turns = written.groupBy("conv_id", "rank").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    sizes = F.transform(
+        "turns", lambda t: (F.length(t["head"]) + F.length(t["body"]) + len(TURN_END)).cast("bigint")
+    )
+    places = running(sizes, F.lit(0).cast("bigint"), lambda a, b: a + b)
+    spans = F.zip_with(
         "turns",
-        F.struct(
-            F.lit(0).cast("bigint").alias("place"),
-            F.array().cast("array<struct<start:bigint,size:bigint>>").alias("found"),
-        ),
-        lambda done, turn: F.struct(
-            (done["place"] + F.length(turn["head"]) + F.length(turn["body"]) + end).alias("place"),
-            F.when(
-                turn["learned"],
-                F.array_append(
-                    done["found"],
-                    F.struct(
-                        (done["place"] + F.length(turn["head"])).alias("start"),
-                        F.length(turn["body"]).cast("bigint").alias("size"),
-                    ),
-                ),
-            )
-            .otherwise(done["found"])
-            .alias("found"),
+        places,
+        lambda t, place: F.when(
+            t["learned"],
+            F.struct((place + F.length(t["head"])).alias("start"), F.length(t["body"]).cast("bigint").alias("size")),
         ),
     )
     pieces = F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(TURN_END)))
-    return turns.select("conv_id", F.array_join(pieces, "").alias("formatted"), spans["found"].alias("loss"))
+    return turns.select(
+        "conv_id", "rank", F.array_join(pieces, "").alias("formatted"), F.array_compact(spans).alias("loss")
+    )
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """``conv_id``, ``turns`` (role, text) and ``learned`` (the text under the mask), parsed from the output."""
+    """``conv_id``, ``rank``, ``turns`` (role, text) and ``learned`` (the text under the mask), parsed from the output."""
     cut = F.split("formatted", TURN_END)
     parts = F.slice(cut, 1, F.size(cut) - 1)
     turns = F.transform(
@@ -178,5 +170,5 @@ def read_back(formatted: DataFrame) -> DataFrame:
         "loss", lambda s: unescaped(F.substr("formatted", (s["start"] + 1).cast("int"), s["size"].cast("int")))
     )
     return formatted.select(
-        "conv_id", "formatted", turns.alias("turns"), F.array_join(learned, "").alias("learned")
+        "conv_id", "rank", "formatted", turns.alias("turns"), F.array_join(learned, "").alias("learned")
     )

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heatwright.llm.texts import WORD, only, staged
+from heatwright.llm.texts import WORD, only, staged, unused
 
 # Weights of the sources in turn, and the share of all words that is wanted.
 WEIGHTS = (5, 2, 1)
@@ -29,26 +29,57 @@ SHARE = 1.5
 REPEATS = 2
 
 BLOCK = 512
-BUCKETS = 1024
+BUCKET_ROWS = 50_000  # documents numbered in one task, about
+LEAST_BUCKETS = 64
 SHARD = 4096  # slots per output shard
-CHUNK = 65_536  # numbers one row expands to at once
+CHUNK = 2048  # numbers one row expands to at once
+TASK = 16_384  # numbers one task makes
+MOST_TASKS = 100_000
+RANGE = 4096  # shards summed in one task
 ROUNDS = 24
 SEED = 20_240_607
 
 
-def numbered(df: DataFrame, count: Column, name: str, *kept: str) -> DataFrame:
-    """One row for each number from 0 below ``count``, in two steps so that no row expands into too many."""
+def numbered(df: DataFrame, count: Column, name: str, total: int, *kept: str) -> DataFrame:
+    """One row for each number from 0 below ``count``; ``total`` of them are expected.
+
+    A row expands in two steps, so that it never becomes too many at once, and in as many tasks as the total needs.
+    """
     chunks = df.select(
         *kept,
         count.alias("_count"),
         F.explode(F.sequence(F.lit(0), F.floor((count - 1) / CHUNK))).alias("_chunk"),
     )
     low = F.col("_chunk") * CHUNK
-    return chunks.repartition(*kept, "_chunk").select(
+    return chunks.repartition(_tasks(total), *kept, "_chunk").select(
         *kept, F.explode(F.sequence(low, F.least(low + CHUNK, F.col("_count")) - 1)).alias(name)
     )
 
 
+def _tasks(total: int) -> int:
+    return max(1, min(-(-total // TASK), MOST_TASKS))
+
+
+def before_in_order(df: DataFrame, value: str, name: str, place: str, *keys: str) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of the same keys with a smaller ``place`` (a whole number).
+
+    Places are taken in ranges of RANGE: sums of the ranges first, then within each range, so no task sees them all. Of
+    equal places all count as one, and the sum before them stands in each.
+    """
+    part = unused(df, "_range")
+    ranged = df.withColumn(part, F.floor(F.col(place) / RANGE))
+    sums = ranged.groupBy(*keys, part).agg(F.sum(value).alias("_held"))
+    earlier = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*keys, part, F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_start"))
+    inner = Window.partitionBy(*keys, part).orderBy(place).rangeBetween(Window.unboundedPreceding, -1)
+    within = ranged.withColumn("_inner", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    same = F.col(f"w.{part}") == F.col(f"s.{part}")
+    for key in keys:
+        same = same & F.col(f"w.{key}").eqNullSafe(F.col(f"s.{key}"))
+    columns = [F.col(f"w.{c}") for c in df.columns if c != name]
+    return within.alias("w").join(starts.alias("s"), same).select(*columns, (F.col("s._start") + F.col("w._inner")).alias(name))
+
+
 def permuted(index: Column, size: Column, key: Column) -> Column:
     """``index`` under a pseudorandom permutation of 0 .. size - 1; ``size`` may be any number."""
 
@@ -111,7 +142,8 @@ def _same_source(left: str, right: str) -> Column:
 
 def packed_starts(sized: DataFrame) -> DataFrame:
     """Documents with words, and ``start``: the words before them in their source."""
-    sized = sized.filter("size > 0").withColumn("bucket", F.pmod("mark", F.lit(BUCKETS)))
+    buckets = max(LEAST_BUCKETS, sized.count() // BUCKET_ROWS)
+    sized = sized.filter("size > 0").withColumn("bucket", F.pmod("mark", F.lit(buckets)))
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
@@ -146,26 +178,25 @@ def document_pieces(starts: DataFrame) -> DataFrame:
 def placements(targets: DataFrame) -> DataFrame:
     """Every slot of the mix: ``shard``, ``source``, ``slot``, the ``block`` in it and how many of its
     words are taken (``limit``)."""
-    slots = staged(numbered(targets.filter("slots > 0"), F.col("slots"), "slot", "source", "first_slot", "slots"), "slots")
-    slots = slots.withColumn("number", F.col("first_slot") + F.col("slot"))
     total = targets.agg(F.sum("slots").alias("n")).first()["n"] or 0
+    slots = numbered(targets.filter("slots > 0"), F.col("slots"), "slot", total, "source", "first_slot", "slots")
+    slots = staged(slots, "slots").withColumn("number", F.col("first_slot") + F.col("slot"))
     # Every place of the output draws a slot; only the slot's source counts.
     drawn = slots.select(
         F.floor(F.col("number") / SHARD).alias("shard"),
         F.pmod(F.xxhash64("number", F.lit(SEED)), F.lit(max(total, 1))).alias("number"),
     ).join(slots.select("number", "source", "slots"), "number")
-    counts = staged(drawn.groupBy("shard", "source", "slots").agg(F.count("*").alias("n")), "draws")
-    before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    counts = drawn.groupBy("shard", "source", "slots").agg(F.count("*").alias("n"))
+    counts = staged(before_in_order(staged(counts, "draws"), "n", "first", "shard", "source"), "draws")
     fitting = counts.withColumn("n", F.least(F.col("n"), F.col("slots") - F.col("first"))).filter("n > 0")
-    fitting = numbered(fitting, F.col("n"), "k", "shard", "source", "first").select(
+    fitting = numbered(fitting, F.col("n"), "k", total, "shard", "source", "first").select(
         "shard", "source", (F.col("first") + F.col("k")).alias("slot")
     )
-    # Draws beyond a source's slots, and slots that nobody drew: as many of each, matched in order.
+    # Draws beyond a source's slots, and slots that nobody drew: as many of each, matched in order of shards and sources.
     surplus = counts.withColumn("n", F.col("first") + F.col("n") - F.greatest("first", "slots")).filter("n > 0")
-    along = Window.orderBy("shard", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    surplus = surplus.select("shard", "source", "n", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("first"))
-    surplus = numbered(surplus, F.col("n"), "k", "shard", "first").select(
+    surplus = surplus.groupBy("shard").agg(F.sum("n").alias("n"))
+    surplus = before_in_order(surplus, "n", "first", "shard")
+    surplus = numbered(surplus, F.col("n"), "k", total, "shard", "first").select(
         "shard", (F.col("first") + F.col("k")).alias("match")
     )
     got = counts.groupBy("source").agg(F.sum("n").alias("got"))
@@ -176,9 +207,8 @@ def placements(targets: DataFrame) -> DataFrame:
         .filter("got < slots")
         .withColumn("n", F.col("slots") - F.col("got"))
     )
-    along = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    short = short.withColumn("first", F.coalesce(F.sum("n").over(along), F.lit(0)))
-    short = numbered(short, F.col("n"), "k", "source", "got", "first").select(
+    short = before_in_order(short, "n", "first", "place")
+    short = numbered(short, F.col("n"), "k", total, "source", "got", "first").select(
         "source", (F.col("got") + F.col("k")).alias("slot"), (F.col("first") + F.col("k")).alias("match")
     )
     placed = fitting.unionByName(surplus.join(short, "match").select("shard", "source", "slot"))
@@ -238,11 +268,13 @@ def mixed_blocks(docs: DataFrame) -> DataFrame:
     used = (
         pieces.alias("p")
         .join(placements(targets).alias("k"), _same_source("p", "k") & (F.col("p.block") == F.col("k.block")))
-        .select("k.shard", "p.source", "k.slot", "p.block", "p.at", "p.doc_id", "p.mark", "p.first_word", cut.alias("words"))
+        .select(
+            "k.shard", "p.source", "k.slot", "p.block", "p.at", "p.doc_id", "p.mark", "p.start", "p.first_word", cut.alias("words")
+        )
         .filter("words > 0")
     )
-    # Each document's text travels once, with all places it goes to.
-    places = used.groupBy("doc_id", "mark").agg(
+    # Each row's text travels once, with all places it goes to; rows that repeat id and text have each their own start.
+    places = used.groupBy("doc_id", "mark", "source", "start").agg(
         F.collect_list(F.struct("shard", "source", "slot", "block", "at", "first_word", "words")).alias("places")
     )
     texts = only(docs, "doc_id", "text").withColumn("mark", F.xxhash64("doc_id", "text")).dropDuplicates(["doc_id", "mark"])

@@ -411,22 +411,29 @@ def may_hold(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     The bitmap has FILTER_BUCKETS rows of 4 KiB however many nodes there are; bits hit by chance only let
     further rows through. No text is shuffled for it.
     """
+    flag = unused(docs, "_held")
+    return with_bitmap(docs, nodes, flag).filter(F.col(flag)).drop(flag)
+
+
+def with_bitmap(docs: DataFrame, nodes: DataFrame, flag: str) -> DataFrame:
+    """``docs`` with ``flag``: whether the bitmap of ``nodes`` holds the row's id."""
     bits = F.lit(FILTER_BUCKETS * 32_768)
 
     def bit(column: str):
         return F.pmod(F.xxhash64(column), bits)
 
-    bitmaps = nodes.groupBy(F.bitmap_bucket_number(bit("node")).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit("node"))).alias("_bitmap")
+    bucket, bitmap = unused(docs, "_bucket"), unused(docs, "_bitmap")
+    bitmaps = nodes.groupBy(F.bitmap_bucket_number(bit("node")).alias(bucket)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit("node"))).alias(bitmap)
     )
     place = F.bitmap_bit_position(bit("doc_id"))
-    byte = F.conv(F.hex(F.substring("_bitmap", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    held = F.getbit(byte, (place % 8).cast("int")) == 1
+    byte = F.conv(F.hex(F.substring(bitmap, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
     return (
-        docs.withColumn("_bucket", F.bitmap_bucket_number(bit("doc_id")))
-        .join(F.broadcast(bitmaps), "_bucket")
-        .filter(held)
-        .drop("_bucket", "_bitmap")
+        docs.withColumn(bucket, F.bitmap_bucket_number(bit("doc_id")))
+        .join(F.broadcast(bitmaps), bucket, "left")
+        .withColumn(flag, held)
+        .drop(bucket, bitmap)
     )
 
 
@@ -534,14 +541,61 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     )
 
 
+# Room for the numbers that rows get whose id has several texts.
+ROW_NUMBERS = 1 << 54
+
+
+def with_row_keys(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with ``key``: a number for each different pair of id and text, the id itself where it has one text.
+
+    Only rows whose id has several texts are joined; the others pass a bitmap of such ids without a shuffle, but for
+    a few that it lets through by chance.
+    """
+    marks = (F.xxhash64("text"), F.xxhash64("text", F.lit("again")))
+    rows = only(docs, "doc_id", "text").filter("doc_id is not null").select("doc_id", F.struct(*marks).alias("mark"))
+    several = rows.groupBy("doc_id").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).filter("low < high")
+    several = staged(several.select(F.col("doc_id").alias("node")), "several")
+    if several.isEmpty():
+        return docs.withColumn(key, F.col("doc_id"))
+    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+    if high <= 2**63 - 1 - ROW_NUMBERS:
+        first = high + 1
+    elif low >= -(2**63) + ROW_NUMBERS:
+        first = low - ROW_NUMBERS
+    else:  # ids at both ends of what a number holds: every row gets a new one
+        first, several = 0, rows.select(F.col("doc_id").alias("node")).distinct()
+    pairs = rows.join(several, F.col("doc_id") == F.col("node"), "left_semi").distinct()
+    numbers = pairs.select("doc_id", "mark", (F.lit(first) + F.monotonically_increasing_id()).alias("_number"))
+    numbers = staged(numbers, "numbers")
+    bit, mine = unused(docs, "_may"), unused(docs, "_number")
+    known = docs.filter("doc_id is not null")
+    marked = with_bitmap(known, several, bit)
+    joined = (
+        marked.filter(F.col(bit))
+        .alias("d")
+        .join(
+            numbers.alias("n"),
+            (F.col("d.doc_id") == F.col("n.doc_id")) & (F.struct(*[F.xxhash64("d.text"), F.xxhash64("d.text", F.lit("again"))]) == F.col("n.mark")),
+            "left",
+        )
+        .select("d.*", F.col("n._number").alias(mine))
+    )
+    plain = marked.filter(~F.col(bit)).withColumn(mine, F.lit(None).cast("bigint"))
+    both = joined.unionByName(plain).withColumn(key, F.coalesce(F.col(mine), F.col("doc_id"))).drop(mine, bit)
+    return both.unionByName(docs.filter("doc_id is null").withColumn(key, F.lit(None).cast("bigint")))
+
+
 def keep_one_of_each(docs: DataFrame, threshold: int = STAGE_THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each component, all columns as they are.
+    """The rows of ``docs`` that stay: one of each component of texts, all columns as they are.
 
-    Of rows that repeat a ``doc_id`` one stays; rows without an id stay.
+    Rows are told apart by id and text, so an id with several unrelated texts keeps them all. Of rows that repeat both
+    one stays; rows without an id stay.
     """
-    mine, copy = unused(docs, "_gone"), unused(docs, "_copy")
-    gone = near_duplicates(docs, threshold).filter("not kept").select(F.col("doc_id").alias(mine)).distinct()
-    known = docs.filter("doc_id is not null").join(gone, F.col("doc_id") == F.col(mine), "left_anti")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    key, mine, copy = unused(docs, "_row"), unused(docs, "_gone"), unused(docs, "_copy")
+    rows = with_row_keys(docs, key)
+    texts = rows.select(F.col(key).alias("doc_id"), "text")
+    gone = near_duplicates(texts, threshold).filter("not kept").select(F.col("doc_id").alias(mine)).distinct()
+    known = rows.filter(F.col(key).isNotNull()).join(gone, F.col(key) == F.col(mine), "left_anti")
+    first = Window.partitionBy(key).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
     known = known.withColumn(copy, F.row_number().over(first)).filter(F.col(copy) == 1).drop(copy)
-    return known.unionByName(docs.filter("doc_id is null"))
+    return known.unionByName(rows.filter(F.col(key).isNull())).drop(key)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatwright.session import scratch_path
@@ -93,3 +93,43 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+# Elements of an array that are gone through at once.
+RUN = 256
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For each element what ``step`` makes of those before it.
+
+    A list that grows is copied at each step, so elements are taken in runs: the work is RUN copies an element.
+    """
+
+    def listed(items: Column, start: Column, of: Callable[[Column], Column]) -> Column:
+        empty = F.array_repeat(zero, 0)
+        return F.aggregate(
+            items,
+            F.struct(start.alias("now"), empty.alias("done")),
+            lambda state, x: F.struct(
+                step(state["now"], of(x)).alias("now"), F.array_append(state["done"], state["now"]).alias("done")
+            ),
+            lambda state: state["done"],
+        )
+
+    def in_runs(all_values: Column) -> Column:
+        runs = F.ceil(F.size(all_values) / RUN).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), runs - 1), lambda i: F.slice(all_values, i * RUN + 1, F.lit(RUN)))
+
+        def with_starts(chunks: Column) -> Column:
+            totals = F.transform(chunks, lambda c: F.aggregate(c, zero, step))
+            starts = listed(totals, zero, lambda x: x)
+            return F.flatten(F.zip_with(chunks, starts, lambda c, start: listed(c, start, lambda x: x)))
+
+        return F.when(F.size(all_values) == 0, F.array_repeat(zero, 0)).otherwise(bound(cut, with_starts))
+
+    return bound(values, in_runs)

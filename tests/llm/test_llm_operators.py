@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -407,6 +408,33 @@ def test_patterns_of_seeds_discover_unseen_identifiers(spark):
     assert pii.redact(docs).columns == docs.columns
 
 
+def test_grouped_identifiers_context_and_rounds(spark):
+    far = "\n" + " " * 80  # context reaches over any gap
+    texts = [f"mail{far}user{k}@mail.example now" for k in range(4)]
+    texts += [f"mail{far}DE12 3456 7890 A{k}C now" for k in range(4)]
+    # Believed only through what the round before believed: account numbers share "DE" groups' word, then their own.
+    texts += [f"mail ACC{k}7654321 and" for k in range(3)] + [f"ref ACC{k}7654321 and" for k in range(3)]
+    texts += ["ref ZZZZ99887766 and", "see 2019 2020 and 2021", "word mail 12345678 87654321 end"]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(frame(spark, texts)).collect()}
+    assert all(got[k].startswith("other:85:") and got[k] == "other:85:103" for k in range(4, 8))
+    assert all(got[k] == "other:5:16" for k in range(8, 11)) and all(got[k] == "other:4:15" for k in range(11, 14))
+    assert got[14] == "other:4:16" and got[15] == ""
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """A text of 60,000 numbers and one of 60,000 addresses; with growing lists they took hours."""
+    numbers = " ".join(str(10**7 + 7919 * i) for i in range(60_000))
+    mails = " ".join(f"user{i}@mail.example é" for i in range(60_000))
+    docs = frame(spark, [numbers, mails])
+    started = time.monotonic()
+    rows = {r["doc_id"]: r for r in pii.find_personal_data(docs).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert time.monotonic() - started < 120
+    assert rows[1]["n_email"] == 60_000
+    assert rows[1]["base_sha256"] == hashlib.sha256(",".join(plain_spans(mails)).encode()).hexdigest()
+    assert clean[1] == " ".join(["<email> é"] * 60_000) and clean[0] == numbers
+
+
 def test_personal_data_takes_odd_rows(spark):
     docs = frame(spark, ODD)
     rows = check_rows(pii.find_personal_data(docs), len(ODD))
@@ -569,7 +597,9 @@ def test_best_branch_of_a_tree(spark):
         (None, 1, None, None, None, None),
     ]
     messages = spark.createDataFrame([(*r, "clash") for r in rows], MESSAGES)
-    back = chat_format.read_back(chat_format.format_trees(messages)).collect()
+    everything = chat_format.read_back(chat_format.format_trees(messages)).collect()
+    back = chat_format.read_back(chat_format.format_trees(messages, paths=1)).collect()
+    assert sorted(map(str, back)) == sorted(str(r) for r in everything if r["rank"] == 1)
     got = {r["conv_id"]: ([tuple(t) for t in r["turns"]], r["learned"]) for r in back}
     assert got == {
         1: ([("user", "hi"), ("assistant", "right"), ("user", "more"), ("assistant", "end <#\\h")], "rightend <#\\h"),
@@ -580,6 +610,24 @@ def test_best_branch_of_a_tree(spark):
     assert chat_format.format_trees(messages.limit(0)).count() == 0
 
 
+def test_every_path_of_a_tree_is_a_ranked_row(spark):
+    rows = [
+        (1, 1, None, "user", "root", 0.0),
+        (1, 2, 1, "assistant", "good", 2.0),
+        (1, 3, 1, "assistant", "bad", -1.0),
+        (1, 4, 2, "user", "thanks", 0.5),
+        (1, 5, 2, "user", "why?", 0.0),
+        (1, 6, None, "user", "second root", 9.0),
+    ]
+    messages = spark.createDataFrame([(*r, "clash") for r in rows], MESSAGES)
+    ranked = {r["rank"]: [t["text"] for t in r["turns"]] for r in chat_format.read_back(chat_format.format_trees(messages)).collect()}
+    assert ranked == {1: ["second root"], 2: ["root", "good", "thanks"], 3: ["root", "good", "why?"], 4: ["root", "bad"]}
+    two = chat_format.format_trees(messages, paths=2).collect()
+    assert sorted(r["rank"] for r in two) == [1, 2]
+    learned = {r["rank"]: r["learned"] for r in chat_format.read_back(chat_format.format_trees(messages)).collect()}
+    assert learned == {1: "", 2: "good", 3: "good", 4: "bad"}
+
+
 def test_round_trip_of_odd_texts(spark):
     rng = random.Random(6)
     signs = ["\\", "#", "<", "</turn>\n", "### ", ": ", "\\h", "\\b", "\\l", "é", "\n", "assistant", "###", "😀", ""]
@@ -678,7 +726,33 @@ def test_ids_with_several_texts_link_their_classes(spark):
         (3, 3, True), (5, 3, False), (6, 3, False), (7, 7, True)
     }
     assert len(rows) == 5
-    assert sorted(r["doc_id"] for r in near_dup.keep_one_of_each(docs).collect()) == [3, 7]
+
+
+@pytest.mark.parametrize("far", [(), (2**63 - 1,), (2**63 - 1, -(2**63))])
+def test_stage_keeps_a_row_of_each_class_whatever_the_ids(spark, far):
+    """The stage tells rows apart by id and text: no text without a near copy goes, one of each class stays."""
+    rng = random.Random(1)
+    a, b, c = words(rng, 40), words(rng, 40), words(rng, 40)
+    near = a + " end"
+    for given, texts in (
+        ([(1, a), (1, b)], [a, b]),
+        ([(3, b), (5, a), (5, b), (6, a)], [a, b]),
+        ([(9, c), (1, a), (1, near), (1, b), (1, b), (2, c), (None, a), (None, a)], [a, b, c]),
+        ([(4, ""), (4, ""), (4, a), (8, ""), (8, None)], [a]),
+    ):
+        given = [*given, *((i, words(rng, 30)) for i in far)]
+        kept = near_dup.keep_one_of_each(frame(spark, [(i, t, "s") for i, t in given]))
+        assert len(kept.columns) == len(DOCS.split(",")) + len(CLASHING)
+        rows = [(r["doc_id"], r["text"]) for r in kept.collect()]
+        assert set(rows) <= set(given)
+        # Of each class of the three texts one row with an id stays; texts without words stay once for each id.
+        for text in texts:
+            like = {text, near} if text == a else {text}
+            assert sum(t in like for i, t in rows if i is not None) == 1
+        assert sum(i is None for i, _ in rows) == sum(i is None for i, _ in given)
+        bare = {(i, t) for i, t in given if i is not None and not t}
+        assert sorted(map(str, bare)) == sorted(str(r) for r in rows if r[0] is not None and not r[1])
+        assert {i for i, _ in rows} >= set(far)
 
 
 def test_star_components(spark):
