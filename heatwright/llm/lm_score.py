@@ -6,11 +6,13 @@ maximum-entropy model over hashed features of the context: the word before, the
 each of the second and third words before alone (skips). The word factor is its add-one share of the class,
 with one share for all unseen words; it needs only the corpus counts.
 
-Spark counts the tokens of all training texts. The weights are trained by distributed gradient updates: in each
-round every task improves the current weights on its part of the training texts, and the mean of the results,
-each weight's over the tasks that saw its feature and as often as they saw it, is the next round's start. Scoring reads every text once in sparse numpy batches. The commonest
-FREQUENT tokens and their counts are broadcast; all others are handed on per document and looked up by a join
-with the whole counts, so no token is left out and nothing that grows with the corpus is broadcast.
+Spark counts the tokens of all training texts. Then every text is cut once more and stored as a row of token
+numbers, from which the weights are trained and the texts are scored. Training is by distributed gradient updates: in
+each round every task improves the current weights on its part of the training texts, and the mean of the results,
+each weight's over the tasks that saw its feature and as often as they saw it, is the next round's start. Scoring works
+in sparse numpy batches. The commonest FREQUENT tokens and their counts are broadcast; all others are handed on per
+document and looked up by a join with the whole counts, so no token is left out and nothing that grows with the
+corpus is broadcast.
 
 Defined results: null and empty texts have one token, the end. A null ``doc_id`` hashes like an empty text
 (it is trained on). Repeated rows and repeated ids give a row each. An empty table gives an empty
@@ -129,19 +131,18 @@ class Numbers(dict):
 # ---------------------------------------------------------------- model
 
 
-def numbered_tokens(texts: list[bytes], numbers: Numbers, pad: int) -> tuple[np.ndarray, np.ndarray, list]:
-    """All tokens of some texts in a row, three pads before each text; tokens per text; missed ones per text."""
-    flat: list[int] = []
-    sizes, missed = [], []
-    for text in texts:
-        words = text.lower().split()
-        flat += (pad, pad, pad)
-        flat += map(numbers.__getitem__, words)
-        flat.append(numbers[END])
-        sizes.append(len(words) + 1)
-        missed.append(numbers.missed)
-        numbers.missed = []
-    return np.array(flat, np.int64), np.array(sizes, np.int64), missed
+def numbered_tokens(text: bytes, numbers: Numbers) -> tuple[np.ndarray, list[bytes]]:
+    """Numbers of a text's tokens, the end included, and the tokens that have none of their own."""
+    found = [*map(numbers.__getitem__, text.lower().split()), numbers[END]]
+    missed, numbers.missed = numbers.missed, []
+    return np.array(found, np.int32), missed
+
+
+def one_stream(rows: list[bytes], pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts given as bytes of token numbers in a row, three pads before each; tokens per text."""
+    pads = np.full(3, pad, np.int32).tobytes()
+    stream = np.frombuffer(pads + pads.join(rows) if rows else b"", np.int32).astype(np.int64)
+    return stream, np.array([len(row) // 4 for row in rows], np.int64)
 
 
 def context_features(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -154,10 +155,22 @@ def context_features(stream: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (mixed(keys) >> np.uint64(64 - 15)).astype(np.int64)
 
 
-def class_scores(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    scores = weights[features[0]]
+class Scratch:
+    """Arrays for one chunk, used over and over: new ones of this size would come from the system each time."""
+
+    def __init__(self) -> None:
+        self.scores = np.empty((CHUNK, CLASSES), np.float32)
+        self.more = np.empty((CHUNK, CLASSES), np.float32)
+
+
+def class_scores(weights: np.ndarray, bias: np.ndarray, features: np.ndarray, scratch: Scratch) -> np.ndarray:
+    n = features.shape[1]
+    scores, more = scratch.scores[:n], scratch.more[:n]
+    # Clipping changes nothing, all numbers are in range; without it the result is copied once more.
+    np.take(weights, features[0], axis=0, out=scores, mode="clip")
     for row in features[1:]:
-        scores += weights[row]
+        np.take(weights, row, axis=0, out=more, mode="clip")
+        scores += more
     scores += bias
     scores -= scores.max(axis=1, keepdims=True)
     return scores
@@ -168,48 +181,102 @@ def _places(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + 3 * np.repeat(np.arange(1, len(sizes) + 1), sizes)
 
 
-def log_probabilities(weights, bias, stream, at, classes) -> np.ndarray:
+def log_probabilities(weights, bias, stream, at, classes, scratch: Scratch) -> np.ndarray:
     """Natural logarithm of the class factor of the tokens at ``at``."""
     out = np.empty(len(at), np.float64)
     for start in range(0, len(at), CHUNK):
         part = at[start : start + CHUNK]
-        scores = class_scores(weights, bias, context_features(stream, part))
+        scores = class_scores(weights, bias, context_features(stream, part), scratch)
         own = scores[np.arange(len(part)), classes[start : start + CHUNK]]
-        out[start : start + CHUNK] = own - np.log(np.exp(scores).sum(axis=1))
+        np.exp(scores, out=scores)
+        out[start : start + CHUNK] = own - np.log(scores.sum(axis=1))
     return out
 
 
-def train_on(weights, bias, squares, seen, stream, at, classes) -> None:
+def train_on(weights, bias, squares, seen, stream, at, classes, scratch: Scratch) -> None:
     """One pass of adaptive gradient steps over the tokens at ``at``, in place; ``seen`` counts each feature."""
     for start in range(0, len(at), CHUNK):
         part = at[start : start + CHUNK]
+        n = len(part)
         features = context_features(stream, part)
-        step = np.exp(class_scores(weights, bias, features))
+        step = class_scores(weights, bias, features, scratch)
+        np.exp(step, out=step)
         step /= step.sum(axis=1, keepdims=True)
-        step[np.arange(len(part)), classes[start : start + CHUNK]] -= 1
+        step[np.arange(n), classes[start : start + CHUNK]] -= 1
+        ranked_step = scratch.more[:n]
         for row in features:
-            order = np.argsort(row, kind="stable")
+            # 16-bit keys are sorted by radix.
+            order = np.argsort(row.astype(np.uint16), kind="stable")
             ranked = row[order]
             first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-            total = np.add.reduceat(step[order], first, axis=0)
+            np.take(step, order, axis=0, out=ranked_step, mode="clip")
+            # Two neighbouring classes are added as one complex number: half as many additions.
+            total = np.add.reduceat(ranked_step.view(np.complex64), first, axis=0).view(np.float32)
             hit = ranked[first]
-            seen[hit] += np.diff(first, append=len(ranked))
-            squares[hit] += np.square(total).mean(axis=1)
-            weights[hit] -= RATE * total / np.sqrt(squares[hit] + 1.0)[:, None]
+            seen[hit] += np.diff(first, append=n)
+            squares[hit] += np.einsum("ij,ij->i", total, total) / CLASSES
+            total *= (RATE / np.sqrt(squares[hit] + 1.0))[:, None]
+            weights[hit] -= total
 
 
-def _training(shared):
+# ---------------------------------------------------------------- numbering
+
+NUMBERED = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("held_out", pa.bool_()),
+        ("mark", pa.int64()),
+        ("stream", pa.binary()),
+        ("hits", pa.int64()),
+        ("log_counts", pa.float64()),
+        ("missed", pa.list_(pa.binary())),
+        ("times", pa.list_(pa.int64())),
+    ]
+)
+NUMBERED_DDL = (
+    "doc_id bigint, held_out boolean, mark bigint, stream binary, hits bigint, log_counts double, "
+    "missed array<binary>, times array<bigint>"
+)
+
+
+def _numbering(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, start, bias = shared.value
+        vocabulary = shared.value
         numbers = Numbers(vocabulary)
-        pad = numbers.rest + CLASSES
+        logs = np.concatenate([vocabulary.log_counts, np.zeros(CLASSES)])
+        for batch in batches:
+            for part in pieces(batch, 200):
+                texts = as_bytes(part)
+                found = [numbered_tokens(text, numbers) for text in texts]
+                counted = [Counter(missed) for _, missed in found]
+                yield arrow_rows(
+                    NUMBERED,
+                    [
+                        part.column("doc_id"),
+                        part.column("held_out"),
+                        [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in texts],
+                        [stream.tobytes() for stream, _ in found],
+                        [len(stream) - len(missed) for stream, missed in found],
+                        [float(logs[stream].sum()) for stream, _ in found],
+                        [list(c) for c in counted],
+                        [list(c.values()) for c in counted],
+                    ],
+                )
+
+    return run
+
+
+def _training(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, start, bias = shared.value
+        pad, scratch = len(classes), Scratch()
         weights, squares, seen = start.copy(), np.zeros(FEATURES, np.float32), np.zeros(FEATURES, np.int64)
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part in pieces(batch, 200):
-                    stream, sizes, _ = numbered_tokens(as_bytes(part), numbers, pad)
+                    stream, sizes = one_stream(part.column("stream").to_pylist(), pad)
                     at = _places(sizes)
-                    train_on(weights, bias, squares, seen, stream, at, vocabulary.classes[stream[at]])
+                    train_on(weights, bias, squares, seen, stream, at, classes[stream[at]], scratch)
         if seen.any():
             weights -= start
             schema = pa.schema([("change", pa.binary()), ("seen", pa.binary())])
@@ -218,14 +285,14 @@ def _training(shared):
     return run
 
 
-def trained_weights(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
+def trained_weights(numbered: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     """Weights of FEATURES by CLASSES after ROUNDS rounds, each over its share of the training texts."""
-    context = docs.sparkSession.sparkContext
+    context = numbered.sparkSession.sparkContext
     weights = np.zeros((FEATURES, CLASSES), np.float32)
     bias = vocabulary.prior
     for number in range(ROUNDS):
-        part = docs.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == number).select("text")
-        shared = context.broadcast((vocabulary, weights, bias))
+        part = numbered.filter(~F.col("held_out") & (F.pmod(F.xxhash64("mark"), F.lit(ROUNDS)) == number)).select("stream")
+        shared = context.broadcast((vocabulary.classes, weights, bias))
         changes = on_batches(part.coalesce(SUMMED_TASKS), _training(shared), "change binary, seen binary")
 
         def weighted(row):
@@ -248,50 +315,34 @@ def trained_weights(docs: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
 SCORED = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("held_out", pa.bool_()),
         ("mark", pa.int64()),
         ("n_tokens", pa.int64()),
         ("hits", pa.int64()),
         ("log_counts", pa.float64()),
         ("class_part", pa.float64()),
-        ("missed", pa.list_(pa.binary())),
-        ("times", pa.list_(pa.int64())),
     ]
 )
 SCORED_DDL = (
-    "doc_id bigint, mark bigint, n_tokens bigint, hits bigint, log_counts double, class_part double, "
-    "missed array<binary>, times array<bigint>"
+    "doc_id bigint, held_out boolean, mark bigint, n_tokens bigint, hits bigint, log_counts double, class_part double"
 )
 
 
 def _scoring(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, weights, bias = shared.value
-        numbers = Numbers(vocabulary)
-        pad = numbers.rest + CLASSES
-        logs = np.concatenate([vocabulary.log_counts, np.zeros(CLASSES)])
+        classes, class_logs, weights, bias = shared.value
+        pad, scratch = len(classes), Scratch()
         with np.errstate(over="ignore"):
             for batch in batches:
                 for part in pieces(batch, 200):
-                    texts = as_bytes(part)
-                    stream, sizes, missed = numbered_tokens(texts, numbers, pad)
+                    stream, sizes = one_stream(part.column("stream").to_pylist(), pad)
                     at = _places(sizes)
-                    own = stream[at]
-                    classes = vocabulary.classes[own]
-                    factor = log_probabilities(weights, bias, stream, at, classes) / np.log(10)
-                    first = np.cumsum(sizes) - sizes
-                    counted = [Counter(tokens) for tokens in missed]
+                    own = classes[stream[at]]
+                    factor = log_probabilities(weights, bias, stream, at, own, scratch) / np.log(10)
+                    class_part = np.add.reduceat(factor - class_logs[own], np.cumsum(sizes) - sizes)
+                    kept = [part.column(name) for name in ("doc_id", "held_out", "mark")]
                     yield arrow_rows(
-                        SCORED,
-                        [
-                            part.column("doc_id"),
-                            [xxhash.xxh3_64_intdigest(t) - (1 << 63) for t in texts],
-                            sizes,
-                            np.add.reduceat((own < numbers.rest).astype(np.int64), first),
-                            np.add.reduceat(logs[own], first),
-                            np.add.reduceat(factor - vocabulary.class_logs[classes], first),
-                            [list(c) for c in counted],
-                            [list(c.values()) for c in counted],
-                        ],
+                        SCORED, [*kept, sizes, part.column("hits"), part.column("log_counts"), class_part]
                     )
 
     return run
@@ -299,51 +350,48 @@ def _scoring(shared):
 
 def score_texts(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
-    docs = only(docs, "doc_id", "text")
-    training = docs.filter(~held_out(F.col("doc_id")))
-    counts = staged(token_counts(training), "counts")
+    docs = only(docs, "doc_id", "text").select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    context = docs.sparkSession.sparkContext
+    counts = staged(token_counts(docs.filter(~F.col("held_out"))), "counts")
     vocabulary = Vocabulary(counts)
-    weights = trained_weights(training, vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, weights, vocabulary.prior))
-    scored = staged(on_batches(docs, _scoring(shared), SCORED_DDL), "scored")
+    numbered = staged(on_batches(docs, _numbering(context.broadcast(vocabulary)), NUMBERED_DDL), "numbered")
+    weights = trained_weights(numbered, vocabulary)
+    shared = context.broadcast((vocabulary.classes, vocabulary.class_logs, weights, vocabulary.prior))
+    scored = on_batches(
+        numbered.select("doc_id", "held_out", "mark", "stream", "hits", "log_counts"), _scoring(shared), SCORED_DDL
+    )
 
-    zero, none = F.lit(0).cast("bigint"), F.lit(0.0)
-    missed = scored.select("doc_id", "mark", F.explode(F.arrays_zip("missed", "times")).alias("m")).select(
+    # Rows alike in id and text miss the same tokens: their sum is shared out among them.
+    rare = numbered.filter(F.size("missed") > 0).select("doc_id", "mark", "missed", "times")
+    missed = rare.select("doc_id", "mark", F.explode(F.arrays_zip("missed", "times")).alias("m")).select(
         "doc_id", "mark", F.col("m.missed").alias("token"), F.col("m.times").alias("times")
     )
+    zero = F.lit(0).cast("bigint")
     looked_up = missed.join(counts.select("token", "n"), "token").select(
         "doc_id",
         "mark",
         zero.alias("copies"),
-        zero.alias("n_tokens"),
         F.col("times").alias("known"),
-        (F.col("times") * F.log10(F.col("n") + 1)).alias("log_counts"),
-        none.alias("class_part"),
+        (F.col("times") * F.log10(F.col("n") + 1)).alias("rare_logs"),
     )
-    rows = scored.select(
-        "doc_id",
-        "mark",
-        F.lit(1).cast("bigint").alias("copies"),
-        "n_tokens",
-        F.col("hits").alias("known"),
-        "log_counts",
-        "class_part",
-    ).unionByName(looked_up)
-    # Rows alike in id and text share one sum, and each gets its part of it.
-    sums = rows.groupBy("doc_id", "mark").agg(
-        *[F.sum(c).alias(c) for c in ("copies", "n_tokens", "known", "log_counts", "class_part")]
+    copies = rare.select("doc_id", "mark", F.lit(1).cast("bigint").alias("copies"), zero.alias("known"), F.lit(0.0).alias("rare_logs"))
+    sums = copies.unionByName(looked_up).groupBy("doc_id", "mark").agg(
+        *[F.sum(c).alias(c) for c in ("copies", "known", "rare_logs")]
     )
-    each = {c: F.col(c) / F.col("copies") for c in ("n_tokens", "known", "log_counts", "class_part")}
+    same = F.col("s.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("s.mark") == F.col("r.mark"))
+    known = F.coalesce(F.col("r.known") / F.col("r.copies"), F.lit(0.0))
+    logs = F.col("s.log_counts") + F.coalesce(F.col("r.rare_logs") / F.col("r.copies"), F.lit(0.0))
     base = float(np.log10(vocabulary.n_tokens + vocabulary.n_kinds + 1))
     return (
-        sums.withColumn("_", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+        scored.alias("s")
+        .join(sums.alias("r"), same, "left")
         .select(
-            "doc_id",
-            held_out(F.col("doc_id")).alias("held_out"),
-            each["n_tokens"].cast("bigint").alias("n_tokens"),
-            each["known"].cast("bigint").alias("n_known"),
+            "s.doc_id",
+            "s.held_out",
+            "s.n_tokens",
+            (F.col("s.hits") + known.cast("bigint")).alias("n_known"),
             F.lit(vocabulary.n_tokens).cast("bigint").alias("train_tokens"),
-            (each["log_counts"] - each["n_tokens"] * base).alias("base_score"),
-            (each["log_counts"] + each["class_part"]).alias("score"),
+            (logs - F.col("s.n_tokens") * base).alias("base_score"),
+            (logs + F.col("s.class_part")).alias("score"),
         )
     )

@@ -316,23 +316,54 @@ def test_class_factors_sum_to_one():
     stream = rng.integers(0, 50, 40)
     at = np.full(lm_score.CLASSES, 20)
     with np.errstate(over="ignore"):
-        logs = lm_score.log_probabilities(weights, bias, stream, at, np.arange(lm_score.CLASSES))
+        logs = lm_score.log_probabilities(weights, bias, stream, at, np.arange(lm_score.CLASSES), lm_score.Scratch())
     assert np.exp(logs).sum() == pytest.approx(1, rel=1e-5)
 
 
-def test_weights_are_averaged_over_the_tasks_that_saw_them(spark):
-    rare = spark.createDataFrame([(" ".join(["left right"] * 200),)], "text string").coalesce(1)
-    other = spark.createDataFrame([(f"{k} {k}",) for k in range(300)], "text string").repartition(6)
-    vocabulary = lm_score.Vocabulary(lm_score.token_counts(rare.unionByName(other)))
+def numbered(vocabulary, texts):
     numbers = lm_score.Numbers(vocabulary)
-    stream, _, _ = lm_score.numbered_tokens([b"left right left right"], numbers, numbers.rest + lm_score.CLASSES)
+    rows = [(k, False, k, bytearray(lm_score.numbered_tokens(t.encode(), numbers)[0].tobytes())) for k, t in enumerate(texts)]
+    return rows, "doc_id bigint, held_out boolean, mark bigint, stream binary"
+
+
+def test_weights_are_averaged_over_the_tasks_that_saw_them(spark):
+    rare, other = [" ".join(["left right"] * 200)], [f"{k} {k}" for k in range(300)]
+    texts = spark.createDataFrame([(t,) for t in rare + other], "text string")
+    vocabulary = lm_score.Vocabulary(lm_score.token_counts(texts))
+    mine = spark.createDataFrame(*numbered(vocabulary, rare)).coalesce(1)
+    theirs = spark.createDataFrame(*numbered(vocabulary, other)).repartition(6)
+    row = lm_score.numbered_tokens(b"left right left right", lm_score.Numbers(vocabulary))[0].tobytes()
+    stream, _ = lm_score.one_stream([row], len(vocabulary.classes))
     features = lm_score.context_features(stream, np.array([5, 6]))[:2]  # its own words, seen by one task alone
-    alone = lm_score.trained_weights(rare, vocabulary)
-    both = lm_score.trained_weights(rare.unionByName(other), vocabulary)
+    alone = lm_score.trained_weights(mine, vocabulary)
+    both = lm_score.trained_weights(mine.unionByName(theirs), vocabulary)
     assert np.abs(alone[features]).max() > 0.1
     assert np.abs(both[features]).sum() == pytest.approx(np.abs(alone[features]).sum(), rel=0.2)
 
 
+def test_gradient_steps_equal_a_plain_loop():
+    rng = np.random.default_rng(7)
+    stream, classes = rng.integers(0, 40, 303), rng.integers(0, lm_score.CLASSES, 300)
+    at, bias = np.arange(3, 303), rng.normal(size=lm_score.CLASSES).astype(np.float32)
+    start = rng.normal(size=(lm_score.FEATURES, lm_score.CLASSES)).astype(np.float32)
+    weights, squares, seen = start.copy(), np.zeros(lm_score.FEATURES, np.float32), np.zeros(lm_score.FEATURES, np.int64)
+    with np.errstate(over="ignore"):
+        features = lm_score.context_features(stream, at)
+        lm_score.train_on(weights, bias, squares, seen, stream, at, classes, lm_score.Scratch())
+    scores = start[features].astype(float).sum(axis=0) + bias
+    wrong = np.exp(scores - scores.max(axis=1, keepdims=True))
+    wrong /= wrong.sum(axis=1, keepdims=True)
+    wrong[np.arange(300), classes] -= 1
+    plain, total_squares = start.astype(float), np.zeros(lm_score.FEATURES)
+    for row in features:
+        for f in np.unique(row):
+            total = wrong[row == f].sum(axis=0)
+            total_squares[f] += np.mean(total**2)
+            plain[f] -= lm_score.RATE * total / np.sqrt(total_squares[f] + 1)
+    assert np.allclose(weights, plain, atol=1e-4)
+    assert seen.sum() == 4 * 300
+
+
 def test_frequent_table_changes_no_base_score(spark, monkeypatch):
     docs = frame(spark, [words(random.Random(k), 30) for k in range(40)] + ["a a", "a a"])
     whole = sorted((r["doc_id"], round(r["base_score"], 9), r["n_known"]) for r in lm_score.score_texts(docs).collect())
