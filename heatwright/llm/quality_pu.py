@@ -7,8 +7,9 @@ classifier that tells positives from unlabelled. The classifier then minimises t
 prior * loss of positives as good + max(0, loss of unlabelled as bad - prior * loss of positives as bad).
 
 Features are measures of the text alone: its length, its words, signs, repetition, and the frequencies of
-hashed byte pairs. At most POSITIVES and UNLABELLED documents (by a hash of the id, about as many) are fitted
-on, in the driver; every document is scored, in numpy batches on the executors.
+hashed byte pairs. About POSITIVES and UNLABELLED documents (all, if there are fewer), chosen by a hash of id and text, are
+fitted on, in the driver; rows that repeat both count once, and a sample beyond its bound by a half is refused. Every
+document is scored, in numpy batches on the executors.
 
 Defined results: null and empty texts are scored by the features of a text without words. A null ``doc_id``
 hashes like an empty text. Repeated rows give repeated scores; repeated or null labels count as good where one
@@ -120,17 +121,25 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 yield arrow_rows(schema, [[features(text).tobytes() for text in as_bytes(part)]])
 
 
-def _matrix(docs: DataFrame) -> np.ndarray:
-    rows = on_batches(docs.select("text"), _feature_batches, "features binary").collect()
+def _matrix(docs: DataFrame, bound: int) -> np.ndarray:
+    rows = on_batches(docs.select("text"), _feature_batches, "features binary").limit(_most(bound) + 1).collect()
+    if len(rows) > _most(bound):
+        raise ValueError(f"a sample of about {bound} documents has more than {_most(bound)}")
     width = len(features(b""))
     return np.frombuffer(b"".join(bytes(r["features"]) for r in rows), np.float32).reshape(-1, width).astype(float)
 
 
-def _sample(df: DataFrame, size: int) -> DataFrame:
-    """About ``size`` rows of ``df`` (all, if there are fewer), by a hash of their id."""
+def _most(bound: int) -> int:
+    """Rows that a sample by hash stays below, but for a chance that is not worth a number."""
+    return bound + bound // 2 + 100
+
+
+def _sample(df: DataFrame, size: int, *columns: str) -> DataFrame:
+    """About ``size`` different rows of ``df`` (all, if there are fewer), by a hash of the columns that tell them apart."""
     n = df.count()
     share = min(1.0, size / max(n, 1))
-    return df.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000))
+    hashed = F.pmod(F.xxhash64(*columns, F.lit("sample")), F.lit(1_000_000))
+    return df.filter(hashed < int(share * 1_000_000)).dropDuplicates(list(columns))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -202,10 +211,12 @@ class Classifier:
 def fitted(docs: DataFrame, labels: DataFrame) -> Classifier:
     docs, labels = only(docs, "doc_id", "text"), only(labels, "doc_id", "quality")
     training = fold(F.col("doc_id")) != HELD_OUT
-    good = _sample(labels.filter(training & (F.col("quality") == 1)).select("doc_id").distinct(), POSITIVES)
-    # The broadcast side is the sample of ids, about POSITIVES of them.
+    good = _sample(labels.filter(training & (F.col("quality") == 1)).select("doc_id").distinct(), POSITIVES, "doc_id")
+    # The broadcast side is the sample of ids, about POSITIVES of them; an id may have several texts.
     positives = docs.filter(training).join(F.broadcast(good), "doc_id", "left_semi")
-    return Classifier(_matrix(positives), _matrix(_sample(docs.filter(training), UNLABELLED)))
+    positives = _sample(positives, POSITIVES, "doc_id", "text")
+    unlabelled = _sample(docs.filter(training), UNLABELLED, "doc_id", "text")
+    return Classifier(_matrix(positives, POSITIVES), _matrix(unlabelled, UNLABELLED))
 
 
 def _scoring(shared):

@@ -600,6 +600,48 @@ def test_quality_classifier_held_out(spark):
     assert all(again[k] == pytest.approx(r["score"], rel=1e-6) for k, r in rows.items())
 
 
+def test_quality_scores_and_risk_by_hand():
+    rng = np.random.default_rng(3)
+    good, bad = rng.normal(1, 1, (60, 4)), rng.normal(-1, 1, (50, 4))
+    rest = np.concatenate([good[:30] + 0.1, bad])
+    model = quality_pu.Classifier(good, rest)
+    both = np.concatenate([good, rest])
+    for row, score in zip(rest, model.scores(rest), strict=True):
+        z = model.weights[-1]
+        for k in range(4):
+            centre, spread = both[:, k].mean(), both[:, k].std() + 1e-6
+            z += model.weights[k] * min(5, max(-5, (row[k] - centre) / spread))
+        assert score == pytest.approx(1 / (1 + math.exp(-z)))
+
+    scaled = [model._scaled(rows) for rows in (good, rest)]
+
+    def risk(w):
+        g, u = scaled[0] @ w, scaled[1] @ w
+        as_good = model.prior * np.mean([math.log1p(math.exp(-z)) for z in g])
+        as_bad = np.mean([math.log1p(math.exp(z)) for z in u]) - model.prior * np.mean([math.log1p(math.exp(z)) for z in g])
+        return as_good + max(0.0, as_bad) + quality_pu.SHRINK / (len(good) + len(rest)) / 2 * float(w @ w)
+
+    least = risk(model.weights)
+    assert all(least <= risk(model.weights + d) + 1e-3 for d in 0.1 * np.vstack([np.eye(5), -np.eye(5)]))
+
+
+def test_quality_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    monkeypatch.setattr(quality_pu, "POSITIVES", 40)
+    monkeypatch.setattr(quality_pu, "UNLABELLED", 60)
+    seen = []
+    matrix = quality_pu._matrix
+    monkeypatch.setattr(quality_pu, "_matrix", lambda df, bound: seen.append((matrix(df, bound), bound)) or seen[-1][0])
+    rng = random.Random(4)
+    rows = [(k, words(rng, 30), "s") for k in range(400)] + [(7, "again and again", "s")] * 500
+    rows += [(9, words(rng, 20), "s") for _ in range(300)]  # an id with very many texts
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(400)], "doc_id bigint, quality int, toxic int")
+    quality_pu.fitted(frame(spark, rows), labels)
+    assert [bound for _, bound in seen] == [40, 60]
+    assert all(0 < len(found) <= quality_pu._most(bound) for found, bound in seen)
+    with pytest.raises(ValueError, match="more than"):
+        matrix(frame(spark, [words(rng, 9) for _ in range(400)]), 40)
+
+
 def test_quality_classifier_takes_odd_rows(spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert {r["score"] for r in check_rows(quality_pu.score_quality(frame(spark, ODD), labels), len(ODD))} == {0.5}
