@@ -5,9 +5,10 @@ shingle of all its words). Documents with equal sets form a class, and only one
 is searched. Each tree of the forest is one sorted order of the signature's values; documents that agree on
 the first values of an order stand next to each other in it. A region is such a run with a common prefix.
 Where a region has more members than one task should compare, the prefix is lengthened until it splits, so
-depth follows the density of the data. Inside a region every pair is compared by sketch, and only pairs of
-documents not yet in one component are handed on: first each document's nearest ones, then, once the links
-found so far have merged most of a dense region, all that is left. A longer prefix may part documents that
+depth follows the density of the data. The members of a region are dealt to blocks, differently in each tree, and
+each pair of blocks is compared by sketch as a group of its own, so no task has a whole dense region. Only pairs of
+documents not yet in one component are handed on: first each document's nearest ones within its block, then, in
+regions that the links found so far have not merged, the nearest of all blocks, and last all that is left. A longer prefix may part documents that
 belong together, so the members of lengthened regions are joined once more, by an exact prefix filter over
 their rarest shingles, between components only. Components come from alternating star contractions, all in
 Spark.
@@ -20,6 +21,7 @@ Rows that share a ``doc_id`` count as one document with several texts. Other col
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,14 +45,18 @@ SKETCH = 512
 # Prefix lengths (values) tried from the shallowest on, and the members up to which a region is compared.
 DEPTHS = (2, 4, 6, 8, 12, 16, 32, 64)
 REGION = 2048
+# Members of a block: two blocks of a region are compared at a time.
+BLOCK = 256
 # Standard errors below the threshold at which a pair's sketch agreement is not worth verifying.
 SKETCH_ERRORS = 4.1
 # Counters of the shingles in lengthened regions (a power of two): they rank shingles, rarest first.
 COUNTER_BITS = 20
 # Buckets of 32,768 bits in the filter of the documents that need their shingle sets.
 FILTER_BUCKETS = 512
-# Partners a document names per region in each round; None names all that are left.
+# Partners a document names per group in each round; None names all that are left.
 ROUNDS = (3, 3, None)
+# Pairs named for two components in one group, before the last round.
+NAMED = 8
 
 _FACTORS = (mixed(np.arange(1, VALUES + SKETCH + 1)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFTS = (mixed(np.arange(1001, 1001 + VALUES + SKETCH)) >> np.uint64(32)).astype(np.uint32)
@@ -139,8 +145,8 @@ def sketch_least(threshold: int) -> float:
 
 
 def forest_regions(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """``region`` (hash of tree and prefix), ``tree`` and ``node`` of every run with two or more members, and
-    the ``node``s of runs that were too long at the first depth (None without any).
+    """``region`` (hash of tree and prefix), ``tree``, ``node`` and ``blocks`` (of the region) of every run with two or
+    more members, and the ``node``s of runs that were too long at the first depth (None without any).
 
     Each tree's rows are counted per prefix; runs above REGION go on to the next depth. A run that still
     is too long at the last depth (thousands of different sets agreeing on all values) is dealt into salted
@@ -152,17 +158,19 @@ def forest_regions(reps: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     rest = reps.select("node", "tree_values", trees)
     done, dense = [], None
+    blocks = F.ceil(F.col("members") / BLOCK).alias("blocks")
     for depth in DEPTHS:
         prefix = F.substring(ring, F.col("tree") * step + 1, F.lit(4 * depth))
         rest = rest.select("node", "tree", F.xxhash64("tree", F.lit(depth), prefix).alias("region"))
         sizes = rest.groupBy("region").agg(F.count("*").alias("members")).filter("members > 1")
         rest = staged(rest.join(sizes, "region"), "forest")
         last = depth == DEPTHS[-1]
-        done.append(rest.filter(F.col("members") <= REGION).select("region", "tree", "node"))
+        done.append(rest.filter(F.col("members") <= REGION).select("region", "tree", "node", blocks))
         rest = rest.filter(F.col("members") > REGION)
         if last:
             part = F.pmod(F.xxhash64("node", "tree"), F.ceil(2 * F.col("members") / REGION))
-            done.append(rest.select(F.xxhash64("region", part).alias("region"), "tree", "node"))
+            salted = F.xxhash64("region", part).alias("region")
+            done.append(rest.select(salted, "tree", "node", F.lit(-(-REGION // BLOCK)).cast("bigint").alias("blocks")))
         rest = rest.select("node", "tree")
         if last or rest.isEmpty():
             break
@@ -183,19 +191,21 @@ def _agreement(block: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (out / SKETCH - 1 / 256) / (1 - 1 / 256)
 
 
-def _region_pairs(nodes, comps, sketches, earlier, tried, most, least) -> Iterator[tuple[int, int]]:
-    """Pairs of one region worth verifying: different components, not tried, sketches alike.
+def _group_pairs(nodes, comps, sketches, earlier, tried, sides, most, least) -> Iterator[tuple[int, int]]:
+    """Pairs of one group worth verifying: different components, not tried, sketches alike.
 
     ``earlier`` has the members' regions in the trees before this one: a pair is named in the first tree
-    where it shares a region, and only there.
+    where it shares a region, and only there. ``sides`` are the members' blocks if two blocks are compared with each
+    other, else None.
     """
     n = len(nodes)
-    if n < 2 or (comps == comps[0]).all():
-        return
     place = {int(node): k for k, node in enumerate(nodes)}
+    named: list[tuple[float, int, int]] = []
     for k in range(n):
         around = slice(0, k if most is None else n)
         other = comps[around] != comps[k]
+        if sides is not None:
+            other &= sides[around] != sides[k]
         other &= ~((earlier[around] == earlier[k]) & (earlier[k] != 0)).any(axis=1)
         if not other.any():
             continue
@@ -206,25 +216,35 @@ def _region_pairs(nodes, comps, sketches, earlier, tried, most, least) -> Iterat
             if 0 <= at < len(alike):
                 alike[at] = 0
         found = np.flatnonzero(alike >= least)
-        if most is not None and len(found) > most:
+        if most is None:
+            for j in found:
+                a, b = int(nodes[k]), int(nodes[j])
+                yield (a, b) if a < b else (b, a)
+            continue
+        if len(found) > most:
             found = found[np.lexsort((nodes[around][found], -alike[found]))[:most]]
-        for j in found:
-            a, b = int(nodes[k]), int(nodes[j])
-            yield (a, b) if a < b else (b, a)
+        named += [(-float(alike[j]), *sorted((k, int(j)), key=nodes.__getitem__)) for j in found]
+    # Two components need one link, not one for each of their members.
+    times: Counter[tuple[int, int]] = Counter()
+    for _, i, j in sorted(set(named), key=lambda x: (x[0], nodes[x[1]], nodes[x[2]])):
+        both = (min(comps[i], comps[j]), max(comps[i], comps[j]))
+        times[both] += 1
+        if times[both] <= NAMED:
+            yield int(nodes[i]), int(nodes[j])
 
 
-def _pair_batches(most: int | None, least: float):
+def _pair_batches(most: int | None, least: float, first: bool):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups():
-            """Rows of one region after another; the rows come sorted by region."""
+            """Rows of one group after another; the rows come sorted by it."""
             held = None
             for batch in batches:
                 table = pa.Table.from_batches([batch])
                 held = table if held is None else pa.concat_tables([held, table])
-                regions = held.column("region").to_numpy()
-                cuts = np.flatnonzero(regions[1:] != regions[:-1]) + 1
+                numbers = held.column("group").to_numpy()
+                cuts = np.flatnonzero(numbers[1:] != numbers[:-1]) + 1
                 begin = 0
                 for cut in cuts:
                     yield held.slice(begin, int(cut) - begin)
@@ -243,14 +263,18 @@ def _pair_batches(most: int | None, least: float):
             sketches = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8)
             tree = group.column("tree")[0].as_py()
             homes = np.array(group.column("homes").to_pylist(), np.int64)
+            # Blocks by themselves: a pair may be in two blocks of an earlier tree's region, and each tree names one.
+            apart = first and group.column("blocks")[0].as_py() > 1
+            across = group.column("across")[0].as_py()
             out.update(
-                _region_pairs(
+                _group_pairs(
                     group.column("node").to_numpy(),
                     comps,
                     sketches.reshape(-1, SKETCH),
-                    homes[:, :tree],
+                    homes[:, : 0 if apart else tree],
                     group.column("tried").to_pylist(),
-                    most,
+                    group.column("block").to_numpy() if across else None,
+                    1 if apart else most,
                     least,
                 )
             )
@@ -263,6 +287,19 @@ def _pair_batches(most: int | None, least: float):
     return run
 
 
+def block_groups(regions: DataFrame, first: bool) -> DataFrame:
+    """``group`` and ``across`` for the members of each region: its blocks one by one, or every two of them.
+
+    ``across``: the group holds two blocks, to be compared with each other only.
+    """
+    block = F.pmod(F.xxhash64("node", "region"), F.col("blocks"))
+    dealt = regions.withColumn("block", block)
+    others = F.array("block") if first else F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    dealt = dealt.withColumn("other", F.explode(others))
+    group = F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other"))
+    return dealt.withColumn("group", group).withColumn("across", F.col("block") != F.col("other")).drop("other")
+
+
 def _verify_batches(threshold: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
 
@@ -448,30 +485,35 @@ def find_links(docs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame |
     # The few sets that pass the bitmap by chance meet no pair below.
     sets = may_hold(docs, homes.select("node"))
     sets = staged(on_batches(sets, _shingle_batches, "node bigint, shingles binary, sketch binary"), "sets")
-    rows = regions.join(homes.join(sets.select("node", "sketch"), "node"), "node")
+    known = homes.join(sets.select("node", "sketch"), "node")
     tested: DataFrame | None = None
     comps: DataFrame | None = None
-    for most in ROUNDS:
-        members = rows
-        if tested is None:
-            members = members.withColumn("comp", F.col("node")).withColumn("tried", F.lit(None).cast("array<bigint>"))
-        else:
+    for number, most in enumerate(ROUNDS):
+        members, about = regions.withColumn("comp", F.col("node")), known
+        if comps is not None:
+            members = regions.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            # Regions of one component have nothing left to find.
+            mixed_regions = members.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+            members = members.join(mixed_regions.filter("low < high").select("region"), "region", "left_semi")
+        if tested is not None:
             refused = tested.filter("not linked")
             refused = refused.select(F.col("a").alias("node"), "b").unionByName(
                 refused.select(F.col("b").alias("node"), F.col("a").alias("b"))
             )
-            refused = refused.groupBy("node").agg(F.collect_list("b").alias("tried"))
-            members = members.join(refused, "node", "left")
-            members = (
-                members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-                if comps is not None
-                else members.withColumn("comp", F.col("node"))
-            )
-        members = members.select("region", "tree", "node", "homes", "comp", "sketch", "tried")
-        sorted_rows = members.repartition("region").sortWithinPartitions("region", "node")
-        named = on_batches(sorted_rows, _pair_batches(most, sketch_least(threshold)), "a bigint, b bigint")
+            about = about.join(refused.groupBy("node").agg(F.collect_list("b").alias("tried")), "node", "left")
+        else:
+            about = about.withColumn("tried", F.lit(None).cast("array<bigint>"))
+        members = block_groups(members.join(about, "node"), number == 0).select(
+            "group", "across", "block", "blocks", "tree", "node", "homes", "comp", "sketch", "tried"
+        )
+        sorted_rows = members.repartition("group").sortWithinPartitions("group", "node")
+        pair_batches = _pair_batches(most, sketch_least(threshold), number == 0)
+        named = on_batches(sorted_rows, pair_batches, "a bigint, b bigint")
         verified = verified_pairs(staged(named.distinct(), "pairs"), sets, threshold)
         if verified.isEmpty():
+            # Nothing within the blocks does not mean nothing between them.
+            if number == 0 and not regions.filter("blocks > 1").isEmpty():
+                continue
             break
         tested = verified if tested is None else tested.unionByName(verified)
         links = tested.filter("linked")

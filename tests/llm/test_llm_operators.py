@@ -762,10 +762,13 @@ def near_texts(rng):
     return texts
 
 
-@pytest.mark.parametrize(("region", "threshold"), [(2048, 85), (4, 85), (2048, 80), (6, 80)])
-def test_near_duplicates_as_by_all_pairs(spark, monkeypatch, region, threshold):
-    """Also with regions so small that the forest has to go deeper and part what belongs together."""
+@pytest.mark.parametrize(
+    ("region", "threshold", "block"), [(2048, 85, 256), (4, 85, 256), (2048, 80, 2), (2048, 85, 3), (6, 80, 2)]
+)
+def test_near_duplicates_as_by_all_pairs(spark, monkeypatch, region, threshold, block):
+    """Also with regions so small that the forest has to go deeper and part what belongs together, and in small blocks."""
     monkeypatch.setattr(near_dup, "REGION", region)
+    monkeypatch.setattr(near_dup, "BLOCK", block)
     texts = near_texts(random.Random(21)) + [None, "", " \n"]
     rows = check_rows(near_dup.near_duplicates(frame(spark, texts), threshold), len(texts))
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
@@ -774,6 +777,24 @@ def test_near_duplicates_as_by_all_pairs(spark, monkeypatch, region, threshold):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def test_regions_are_compared_in_blocks_that_meet_once(spark):
+    members = spark.range(40).selectExpr("id as node", "7L as region", "0 as tree", "5L as blocks")
+    first = near_dup.block_groups(members, True).collect()
+    assert len(first) == 40 and not any(r["across"] for r in first)
+    block = {r["node"]: r["block"] for r in first}
+    met = collections.Counter()
+    groups = collections.defaultdict(list)
+    for r in near_dup.block_groups(members, False).collect():
+        groups[r["group"]].append(r)
+    for rows in groups.values():
+        assert len({r["block"] for r in rows}) <= 2
+        for x, y in itertools.combinations(rows, 2):
+            if not x["across"] or x["block"] != y["block"]:
+                met[tuple(sorted((x["node"], y["node"])))] += 1
+    assert met == {pair: 1 for pair in itertools.combinations(range(40), 2)}
+    assert len(set(block.values())) == 5
+
+
 def test_long_regions_at_the_last_depth_are_salted(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "REGION", 6)
     monkeypatch.setattr(near_dup, "DEPTHS", (2, 3))
