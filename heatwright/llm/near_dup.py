@@ -492,9 +492,11 @@ def find_links(docs: DataFrame, reps: DataFrame, threshold: int) -> DataFrame |
         members, about = regions.withColumn("comp", F.col("node")), known
         if comps is not None:
             members = regions.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            # Regions of one component have nothing left to find.
+            # Regions of one component have nothing left to find. Those that the bitmap lets through are skipped below.
             mixed_regions = members.groupBy("region").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-            members = members.join(mixed_regions.filter("low < high").select("region"), "region", "left_semi")
+            mixed_regions = mixed_regions.filter("low < high").select(F.col("region").alias("node"))
+            members = may_hold(members.withColumnRenamed("region", "doc_id"), mixed_regions)
+            members = members.withColumnRenamed("doc_id", "region")
         if tested is not None:
             refused = tested.filter("not linked")
             refused = refused.select(F.col("a").alias("node"), "b").unionByName(
