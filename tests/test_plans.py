@@ -20,7 +20,7 @@ from heatwright.operators.quality import repeated_keys
 from heatwright.plans.chemistry import element_summary, element_values, latest_elements
 from heatwright.plans.heat_report import named_totals, unlisted_names
 from heatwright.plans.measurements import OXYGEN, TEMPERATURE
-from heatwright.sources.catalog import SourceCatalog, inline_rows
+from heatwright.sources.catalog import Near, SourceCatalog, inline_rows
 from heatwright.sources.schemas import ADDITIONS, CLUSTERED_BY, ELEMENTS, REPORT, SOURCES
 
 SHEET = ("HEAT_ID", "WOL_DEMAND_NO", "PCD_PRODUCT_CODE", "LMF_KWH", "KWH_TON", "TAP_WEIGHT", "CAST_TON",
@@ -436,3 +436,11 @@ def test_newest_elements_of_a_summary(spark, plant):
     names = ["heat_id", "elem_type", "elem_name", "elem_value"]
     whole = latest_chemistry(element_values(plant)).select(*names)
     assert rows(latest_elements(element_summary(plant))) == rows(whole)
+
+
+def test_a_relation_of_heats_is_semi_joined_once(spark, plant):
+    """Lookups are left joined to exact heats: their rows need no semi-join, and no sort, of their own."""
+    heats = heat_list(spark, ["1100000001"])
+    assert _plan(heat_report(plant, heats)).count("LeftSemi") == 1
+    names = unlisted_names(named_totals(plant, Near(heats)), heats)
+    assert rows(names) == rows(unlisted_names(named_totals(plant, heats)))
