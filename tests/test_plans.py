@@ -20,7 +20,7 @@ from heatwright.operators.quality import repeated_keys
 from heatwright.plans.chemistry import element_summary, element_values, latest_elements
 from heatwright.plans.heat_report import named_totals, unlisted_names
 from heatwright.plans.measurements import OXYGEN, TEMPERATURE
-from heatwright.sources.catalog import Near, SourceCatalog, inline_rows
+from heatwright.sources.catalog import Near, SourceCatalog, buckets_for, inline_rows
 from heatwright.sources.schemas import ADDITIONS, CLUSTERED_BY, ELEMENTS, REPORT, SOURCES
 
 SHEET = ("HEAT_ID", "WOL_DEMAND_NO", "PCD_PRODUCT_CODE", "LMF_KWH", "KWH_TON", "TAP_WEIGHT", "CAST_TON",
@@ -444,3 +444,8 @@ def test_a_relation_of_heats_is_semi_joined_once(spark, plant):
     assert _plan(heat_report(plant, heats)).count("LeftSemi") == 1
     names = unlisted_names(named_totals(plant, Near(heats)), heats)
     assert rows(names) == rows(unlisted_names(named_totals(plant, heats)))
+
+
+def test_buckets_grow_with_the_rows():
+    assert buckets_for(0) == buckets_for(600_000) == 8
+    assert buckets_for(216_000_000) == 864 and buckets_for(36_000_001) == 145
