@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
@@ -446,6 +448,12 @@ def test_a_relation_of_heats_is_semi_joined_once(spark, plant):
     assert rows(names) == rows(unlisted_names(named_totals(plant, heats)))
 
 
+def test_the_heat_sheet_is_made_distinct_where_it_is_joined(spark, plant):
+    """Rows of full width are laid out by the heat once, not by all of their columns before."""
+    plan = _plan(heat_sheet(plant))
+    assert not re.search(r"hashpartitioning\([^)]*TREATMENT_TIME", plan)
+
+
 def test_buckets_grow_with_the_rows():
     assert buckets_for(0) == buckets_for(600_000) == 8
     assert buckets_for(216_000_000) == 864 and buckets_for(36_000_001) == 145
