@@ -19,7 +19,7 @@ from heatwright.functions.scalars import (
 from heatwright.operators.keyed import delete_by_key, merge_upsert, refused_rows, replace_by_key
 from heatwright.operators.latest import latest_non_null, top_n_per_key
 from heatwright.operators.lookups import enrich, hot_keys, left_join_spread, spread_key
-from heatwright.operators.pivots import pivot_vocabulary
+from heatwright.operators.pivots import pivot_vocabulary, vocabulary_map
 from heatwright.operators.quality import split_valid
 from heatwright.sources.catalog import (
     JdbcTable,
@@ -367,3 +367,20 @@ def test_jdbc_options_split_the_scan():
     assert options["numPartitions"] == "8" and options["partitionColumn"] == "report_no"
     assert (options["lowerBound"], options["upperBound"], options["user"]) == ("0", "1000", "me")
     assert "partitionColumn" not in JdbcTable("dbo.melt").options("jdbc:x:y", {})
+
+
+def test_totals_are_dealt_out_by_their_key_once(spark):
+    long = spark.createDataFrame(
+        [(1, "x", 1.0, "a"), (1, "x", 2.0, "b"), (1, "y ", None, "a"), (2, "z", 3.0, "a"), (None, "x", 4.0, "a"), (3, "y", 5.0, "b")],
+        SOURCES["l2_l3_parameter"],
+    )
+    maps = [
+        vocabulary_map(long, "msg_counter", "param_name", ["param_value_number"], ["x", "y"], ["param_unit"], totalled)
+        for totalled in (False, True)
+    ]
+    found = [sorted((r[0], sorted((k, v[0]) for k, v in r[1].items())) for r in df.collect()) for df in maps]
+    assert found[0] == found[1] == [(1, [("x", 2.0), ("y", None)]), (3, [("y", 5.0)])]
+    plans = [df._jdf.queryExecution().sparkPlan().toString() for df in maps]
+    assert ["Exchange" in plan for plan in plans] == [False, True]
+    planned = [df._jdf.queryExecution().executedPlan().toString() for df in maps]
+    assert [plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") for plan in planned] == [2, 1]
